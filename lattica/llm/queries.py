@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, quality_rules, secrets, simhash, url_filter
+from . import embeddings, mixing, packing, quality_rules, secrets, simhash, url_filter
 
 #: (verdict, host and path prefix); fixed by the query's contract.
 URL_RULES = (
@@ -49,6 +50,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    found = packing.pieces(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(found).withColumnRenamed("id", "doc_id")
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -64,7 +75,9 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op6_source_mixing": op6_source_mixing,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_simhash_dedup": op10_simhash_dedup,
