@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, mixing, packing, quality_rules, secrets, simhash, url_filter
+from . import compression, embeddings, mixing, packing, quality_rules, secrets, simhash, toxicity, url_filter
+from .labelled import remainder
 
 #: (verdict, host and path prefix); fixed by the query's contract.
 URL_RULES = (
@@ -24,6 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _judged(spark: SparkSession, sf_dir: str, kind, label: str, of: int, held: int) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
+    apart = remainder(F.col("id"), of) == held
+    scored = kind.fit(docs, labels, ~apart).score(docs)
+    return scored.withColumn("held_out", apart).withColumnRenamed("id", "doc_id")
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, compression, "quality", 5, 0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, toxicity, "toxic", 4, 2)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda k: F.size(F.filter("spans", lambda x: x["rank"] == k)).cast("long")
@@ -74,9 +91,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op9_url_filter": op9_url_filter,
