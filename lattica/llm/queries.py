@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, embeddings, mixing, packing, quality_rules, secrets, simhash, toxicity, url_filter
+from . import compression, embeddings, mixing, packing, quality_rules, secrets, simhash, substring, toxicity, url_filter
 from .labelled import remainder
 
 #: (verdict, host and path prefix); fixed by the query's contract.
@@ -81,6 +81,11 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.rule_table(spark, URL_RULES))
 
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_simhash_dedup": op10_simhash_dedup,
 }

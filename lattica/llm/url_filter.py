@@ -43,7 +43,8 @@ def _key(labels: Column, path: Column) -> Column:
 
 def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str]]) -> DataFrame:
     """(verdict, "host/path prefix") pairs as the table that ``judge`` takes."""
-    return spark.createDataFrame([(r, v) for v, r in rules], RULE_SCHEMA)
+    rows = [F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for v, r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows).cast(f"array<struct<{RULE_SCHEMA.replace(' ', ':')}>>".replace(",:", ","))))
 
 
 def _stacks(rules: DataFrame) -> DataFrame:
