@@ -20,7 +20,9 @@ empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,18 +34,56 @@ from pyspark.sql import functions as F
 from .common import StageTables, partitions
 from .components import whole_groups
 
-GROUP, REMEMBERED = 16_384, 400_000
-_encoders: dict[str, Encoder] = {}
+GROUP, REMEMBERED = 16_384, 600_000
+_encoders: dict[str, "Encoder"] = {}
 
 
-class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit numbers."""
+#: Letters that lower case maps one to one and normalisation leaves alone, then marks that make one token group.
+_SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)}
+
+
+class Encoder(dict):
+    """Ids of a text as little-endian unsigned 32-bit numbers; words seen are kept.
+
+    Plain words go to the tokenizer's model as they are, lower-cased and without
+    the marks behind them (which are a group of their own); any other word takes
+    the tokenizer's whole way.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
+        self.stems: dict[str, bytes] = {}
+        at = json.loads(self.tokenizer.to_str())
+        kinds = str(at["normalizer"]), str(at["pre_tokenizer"])
+        # the short way holds for lower-casing, byte-level tokenizers whose model gets a word's letters as one piece
+        self.short = "Lowercase" in kinds[0] and "ByteLevel" in kinds[1] and r"[\\p{L}]+" in kinds[1] and r"[^\\s\\p{L}\\p{N}]+" in kinds[1]
+
+    def _stem(self, part: str) -> bytes:
+        ids = self.stems.get(part)
+        if ids is None:
+            ids = self.stems[part] = np.array([t.id for t in self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        simple = _SIMPLE.fullmatch(text) if self.short else None
+        if simple:
+            ids = self._stem(simple[1].lower()) + (self._stem(simple[2]) if simple[2] else b"")
+        else:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -53,17 +93,10 @@ class Encoder:
         return _encoders[path]
 
     def __call__(self, text: bytes) -> bytes:
-        words, known = text.split(), self.known  # at ASCII white space only
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({w for w in words if w not in known})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.stems.clear()
+        return b"".join(map(self.__getitem__, text.split()))  # at ASCII white space only
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
