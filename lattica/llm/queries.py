@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, embeddings, mixing, packing, quality_rules, secrets, simhash, substring, toxicity, url_filter
+from . import compression, embeddings, mixing, oracles, packing, quality_rules, secrets, simhash, substring, toxicity, url_filter
 from .labelled import remainder
 
 #: (verdict, host and path prefix); fixed by the query's contract.
@@ -107,3 +107,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
+
+ORACLES: dict[str, str] = {
+    "op2_secret_scan": oracles.secret_spans(),
+    "op4_quality_rules": oracles.rules(),
+    "op7_embedding_dedup": oracles.EMBEDDINGS,
+    "op8_substring_dedup": oracles.SUBSTRINGS,
+    "op9_url_filter": oracles.urls(URL_RULES),
+}
