@@ -6,6 +6,7 @@ a literal's datatype. Files hold bags of quads, graphs are sets of them.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,18 +35,36 @@ def with_predicate(quads: DataFrame, *predicates: str) -> DataFrame:
     return quads.where(F.col("p").isin(*predicates)) if len(predicates) > 1 else quads.where(F.col("p") == predicates[0])
 
 
+_LOCAL = (1 << 33) - 1
+
+
+def _dense(placed: DataFrame, name: str) -> DataFrame:
+    """Dense ordinals from the column ``_mid`` of monotonically_increasing_id: a partition's rows are shifted by the sizes of those before it (one row a partition)."""
+    sizes = placed.groupBy(F.shiftrightunsigned("_mid", 33).alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_part", F.shiftrightunsigned("_mid", 33)).join(F.broadcast(before), "_part")
+    return joined.withColumn(name, F.col("_mid").bitwiseAND(F.lit(_LOCAL)) + F.col("_before")).drop("_part", "_mid", "_before")
+
+
 def with_ordinal(rows: DataFrame, *keys: Column | str, name: str = "row_ord") -> DataFrame:
     """Dense ordinals from 0 by ``keys``, without ordering all rows in one task.
 
-    Rows are range-partitioned and numbered within their partition; partitions
-    are then shifted by the sizes of those before them (one row a partition).
+    Rows are range-partitioned, sorted and numbered where they are. The placed
+    rows are kept (memory, then disk): the borders come from a sample, and the
+    sizes must be those of the same partitions.
     """
     order = [F.col(k) if isinstance(k, str) else k for k in keys]
-    placed = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()) if order else rows.withColumn("_part", F.spark_partition_id())
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order or [F.monotonically_increasing_id()]))
-    return placed.withColumn("_local", local).join(F.broadcast(before), "_part").withColumn(name, (F.col("_local") - 1 + F.col("_before")).cast("long")).drop("_part", "_local", "_before")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    return _dense(placed.persist(StorageLevel.MEMORY_AND_DISK), name)
+
+
+def in_scan_order(rows: DataFrame, name: str = "row_ord") -> DataFrame:
+    """Dense ordinals in the order of a scan: file order where a file is one partition (as gzip files are) or is split in order."""
+    placed = rows.withColumn("_mid", F.monotonically_increasing_id())
+    if rows.rdd.getNumPartitions() == 1:
+        return placed.withColumnRenamed("_mid", name)
+    return _dense(placed, name)
 
 
 def part_of(ordinal: Column, chunk_rows: int) -> Column:

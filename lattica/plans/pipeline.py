@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.terms import ZONES
 from ..operators import lineage, shacl
 from ..operators.mapping import map_rows
-from ..operators.quads import part_of, part_stats
+from ..operators.quads import in_scan_order, part_of, part_stats
 from ..sources import fingerprint, nquads, tsv
 from ..sources.registry import SOURCES, Source, discover
 from . import templates, vocabulary
@@ -132,7 +132,7 @@ class Run:
 
     def quads(self, t: Transform) -> tuple[DataFrame, DataFrame]:
         """(rows with row_ord and part_index, quads) of a transform."""
-        rows = tsv.with_file_order(tsv.read_source(self.spark, self.source, self.raw / t.tsv)).withColumn("part_index", part_of(F.col("row_ord"), t.chunk_rows))
+        rows = in_scan_order(tsv.read_source(self.spark, self.source, self.raw / t.tsv)).withColumn("part_index", part_of(F.col("row_ord"), t.chunk_rows))
         return rows, map_rows(rows, self._mapping(t), self.graph_iri(t), "part_index", "row_ord", strict=self.strict)
 
     def materialize(self, only: list[str] | None = None) -> list[dict]:

@@ -28,13 +28,6 @@ def read_source(spark: SparkSession, source: Source, path: Path | str) -> DataFr
     return read(spark, str(path), source.columns[name])
 
 
-def with_file_order(rows: DataFrame, name: str = "row_ord") -> DataFrame:
-    """Dense ordinals in file order. A gzip file is one partition, so its order is the reader's; the rows are then spread for what follows."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    numbered = rows.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    return rows.sparkSession.createDataFrame(numbered, f"{schema}, `{name}` long")
-
-
 def profile(rows: DataFrame, file: str, content_hash: str, size: int) -> DataFrame:
     """(file, row_count, column_count, columns, size_bytes, content_hash, dialect)."""
     return rows.agg(F.count("*").alias("row_count")).select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lattica.functions import terms, text
 from lattica.operators import bgp, lineage, rules, shacl
 from lattica.operators.mapping import dropped, map_rows, rejected_types
-from lattica.operators.quads import QUAD, distinct_quads, part_of, part_stats, with_ordinal
+from lattica.operators.quads import QUAD, distinct_quads, in_scan_order, part_of, part_stats, with_ordinal
 from lattica.plans import scope, shapes, sparql, templates, turtle
 from lattica.plans import vocabulary as v
 from lattica.plans.templates import builtin
@@ -245,10 +245,21 @@ def test_file_order(spark, tmp_path):
     import gzip
 
     (tmp_path / "x.tsv.gz").write_bytes(gzip.compress(b"a\tb\n" + b"".join(b'%d\t"%d\n' % (i, i) for i in range(300))))
-    rows = tsv.with_file_order(tsv.read(spark, str(tmp_path / "x.tsv.gz"), ("a", "b")))
+    rows = in_scan_order(tsv.read(spark, str(tmp_path / "x.tsv.gz"), ("a", "b")))
     assert rows.where("row_ord <> cast(a as long) or b <> concat('\"', a)").count() == 0 and rows.count() == 300
 
 
+def test_order_of_a_split_file(spark, tmp_path):
+    (tmp_path / "x.tsv").write_text("a\n" + "".join(f"{i}\n" for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = tsv.read(spark, str(tmp_path / "x.tsv"), ("a",))
+        assert rows.rdd.getNumPartitions() > 3
+        assert in_scan_order(rows).where("row_ord <> cast(a as long)").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_plans(spark, sf):
     """One scan with only the columns in use, no join or shuffle to map; a schema check prunes by predicate."""
     from lattica.retail import Tables
