@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -34,12 +35,17 @@ from pyspark.sql import functions as F
 from .common import StageTables, partitions
 from .components import whole_groups
 
-GROUP, REMEMBERED = 16_384, 600_000
+GROUP, REMEMBERED = 16_384, 500_000
 _encoders: dict[str, "Encoder"] = {}
 
 
-#: Letters that lower case maps one to one and normalisation leaves alone, then marks that make one token group.
-_SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+#: Letters that lower case maps one to one and normalisation leaves alone, and marks that make one token group.
+_SIMPLE = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+_MARKS = ".,;:!?"
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -63,25 +69,34 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
+        self.model = self.tokenizer.model
+        self.old: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.old_stems: dict[str, bytes] = {}
         at = json.loads(self.tokenizer.to_str())
         kinds = str(at["normalizer"]), str(at["pre_tokenizer"])
         # the short way holds for lower-casing, byte-level tokenizers whose model gets a word's letters as one piece
         self.short = "Lowercase" in kinds[0] and "ByteLevel" in kinds[1] and r"[\\p{L}]+" in kinds[1] and r"[^\\s\\p{L}\\p{N}]+" in kinds[1]
 
     def _stem(self, part: str) -> bytes:
-        ids = self.stems.get(part)
+        ids = self.stems.get(part) or self.old_stems.get(part)
         if ids is None:
-            ids = self.stems[part] = np.array([t.id for t in self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            ids = _bytes([t.id for t in self.model.tokenize(letters)])
+        self.stems[part] = ids
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        simple = _SIMPLE.fullmatch(text) if self.short else None
-        if simple:
-            ids = self._stem(simple[1].lower()) + (self._stem(simple[2]) if simple[2] else b"")
-        else:
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            text = word.decode()
+            stem = text.rstrip(_MARKS) if self.short else ""
+            if stem and stem.isalpha() and (stem.isascii() or _SIMPLE.fullmatch(stem)):
+                ids = self._stem(stem.lower())
+                if len(stem) < len(text):
+                    ids += self._stem(text[len(stem) :])
+            else:
+                ids = _bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
         self[word] = ids
         return ids
 
@@ -94,8 +109,9 @@ class Encoder(dict):
 
     def __call__(self, text: bytes) -> bytes:
         if len(self) > REMEMBERED:
+            # what is in use comes back from the old generation, the rest goes with it
+            self.old, self.old_stems, self.stems = dict(self), self.stems, {}
             self.clear()
-            self.stems.clear()
         return b"".join(map(self.__getitem__, text.split()))  # at ASCII white space only
 
 
@@ -128,28 +144,28 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
 def best_fit(demands: np.ndarray, capacity: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The bin of each row of ``demands`` (in the order given): the feasible one with the smallest weighted residual norm, else a new one."""
     scale = np.sqrt(weights) / capacity
-    want, left = demands * scale, np.empty((64, len(capacity)))
-    number, bins, m, least = np.empty(64, np.int64), np.empty(len(demands), np.int64), 0, want[:, 0].min(initial=np.inf)
-    made = 0
+    want, made, m = demands * scale, 0, 0
+    least = want[:, 0].min(initial=np.inf)
+    # a row for each capacity, so that a whole row is one pass
+    left, number, bins = np.empty((len(capacity), 64)), np.empty(64, np.int64), np.empty(len(demands), np.int64)
     for k, w in enumerate(want):
         best = -1
         if m:
-            after = left[:m] - w
-            norm = np.einsum("ij,ij->i", after, after)
-            norm[(after < -1e-12).any(1)] = np.inf
+            after = left[:, :m] - w[:, None]
+            norm = np.where(after.min(axis=0) >= -1e-12, (after * after).sum(axis=0), np.inf)
             best = int(norm.argmin())
             if norm[best] == np.inf:
                 best = -1
         if best < 0:
-            if m == len(left):
-                left, number = np.concatenate([left, np.empty_like(left)]), np.concatenate([number, np.empty_like(number)])
-            left[m], number[m], best = np.sqrt(weights), made, m
+            if m == left.shape[1]:
+                left, number = np.concatenate([left, np.empty_like(left)], axis=1), np.concatenate([number, np.empty_like(number)])
+            left[:, m], number[m], best = np.sqrt(weights), made, m
             made, m = made + 1, m + 1
-        left[best] -= w
+        left[:, best] -= w
         bins[k] = number[best]
-        if left[best, 0] < least - 1e-12:  # full for good
+        if left[0, best] < least - 1e-12:  # full for good
             m -= 1
-            left[best], number[best] = left[m], number[m]
+            left[:, best], number[best] = left[:, m], number[m]
     return bins
 
 
