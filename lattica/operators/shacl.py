@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import well_typed
+from ..functions.text import escape, well_typed
 from ..plans.shapes import Shape
-from ..plans.vocabulary import RDF, RDFS
+from ..plans.vocabulary import RDF, RDFS, SH
 from . import bgp
 
 RESULT = ("focus", "shape", "path", "component", "severity", "value", "message")
@@ -145,6 +145,16 @@ def _joined(group) -> set[str]:
     return {p.p for g in (group, *group.absent) for p in g.patterns if p.o in subjects}
 
 
+def report_lines(results: DataFrame) -> DataFrame:
+    """A Turtle statement for each result, for a text sink; what is null in a result isn't said."""
+    iri = lambda c: F.concat(F.lit("<"), F.col(c), F.lit(">"))
+    text = lambda c: F.concat(F.lit('"'), escape(F.col(c)), F.lit('"'))
+    component = F.when(F.col("component") == "sparql", "SPARQL").otherwise(F.concat(F.upper(F.substring("component", 1, 1)), F.substring("component", 2, 100)))
+    said = [("focusNode", iri("focus")), ("sourceShape", iri("shape")), ("resultPath", iri("path")), ("sourceConstraintComponent", F.concat(F.lit(f"<{SH}"), component, F.lit("ConstraintComponent>"))), ("resultSeverity", F.concat(F.lit(f"<{SH}"), F.col("severity"), F.lit(">"))), ("value", text("value")), ("resultMessage", text("message"))]
+    body = F.concat_ws(" ; ", F.lit(f"[] a <{SH}ValidationResult>"), *[F.concat(F.lit(f"<{SH}{p}> "), c) for p, c in said])
+    return results.select(F.concat(body, F.lit(" .")).alias("line"))
+
+
 def severity_counts(results: DataFrame, *by: str) -> DataFrame:
     return results.groupBy(*by).agg(F.count_if(F.col("severity") == "Violation").alias("violations"), F.count_if(F.col("severity") == "Warning").alias("warnings"))
 

@@ -197,6 +197,7 @@ class Run:
             _json(folder / "validation.json", report)
             if results is not None and (n > good or report["warnings"]):
                 results.write.mode("overwrite").parquet(str(folder / "results"))
+                shacl.report_lines(results).write.mode("overwrite").text(str(folder / "shacl"))
             if quads is not None:
                 quads.unpersist()
                 results.unpersist()

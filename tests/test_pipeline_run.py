@@ -45,6 +45,10 @@ def test_run(spark, folders):
     zones = [run.read(basics, z) for z in ("asserted", "quarantine")]
     assert sum(z.count() for z in zones) == work == 2500 * 8
     assert [r[0] for r in zones[1].select("part_index").distinct().collect()] == [1]
+    report = "\n".join(r["value"] for r in spark.read.text(str(run.quads_dir(basics, "reports") / "shacl")).collect())
+    told = turtle.parse(report)
+    assert {o[1].rsplit("#", 1)[-1] for _, p, o, _ in told if p[1].endswith("sourceConstraintComponent")} == {"DatatypeConstraintComponent"}
+    assert [o[1] for _, p, o, _ in told if p[1].endswith("focusNode")] == ["http://example.org/imdb/title/tt1200"]
     body = (run.dir / "provenance" / "provenance.trig").read_text()
     assert len({s for s, p, o, g in turtle.parse(body) if o[1].endswith("prov#Activity")}) >= 6 + 6 + 1 + 5
     assert result["total_triples"] == 3 + 3 + 2500 * 8 + 3
