@@ -48,6 +48,9 @@ def stage_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/lattica/{conf.get('spark.app.id', 'app')}"
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class StageTables:
     """Tables written to the shared folder to cut lineage, so that a lost executor costs a read and no recomputation."""
 
@@ -58,7 +61,13 @@ class StageTables:
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count:04d}"
-        df.write.mode("overwrite").parquet(path)
+        # what was shuffled to make a written table has served: its files go at once, not when the driver next collects its garbage
+        before = self.spark.conf.get(_CLEAN, "false")
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEAN, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
         return out

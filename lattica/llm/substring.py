@@ -6,13 +6,13 @@ in a document with a smaller id.
 1. Every window is represented by the least of its nine 5-word hashes (its
    mark), so equal windows have equal marks; a document sends each distinct mark
    once. Marks that two different texts hold are kept.
-2. Documents are cut to the windows under such marks (segments). Their windows'
-   128-bit hashes, counted over all documents, confirm which recur and where
-   each starts first: runs of these in the first document are the passages.
+2. Documents are cut to the windows under such marks, a piece for each run of one
+   mark. Their windows' 96-bit hashes, counted over all documents, confirm
+   which recur and where each starts first: these are the passages.
 3. Passages are dealt to shards by mark. A shard compiles its passages' windows,
-   as sequences of word numbers, into an Aho-Corasick automaton, and streams the
-   segments of all documents with its marks through it. As a window's mark is
-   part of it, no occurrence is in another shard. A shard with many segments is
+   a symbol a word, into an Aho-Corasick automaton, streams the pieces of all
+   documents with its marks through it, and checks each match on the words. As a window's mark is
+   part of it, no occurrence is in another shard. A shard with many pieces is
    repeated under salts, each with a part of them, so that a passage which a
    third of all documents hold is many tasks.
 4. The ranges found are applied to the whole texts.
@@ -41,25 +41,19 @@ from .common import StageTables, partitions
 
 WINDOW, GRAM = 13, 5
 SPAN = WINDOW - GRAM + 1
-#: Windows an automaton holds, about; segments a task streams, about.
+#: Windows an automaton holds, about; pieces a task streams, about.
 SHARD, STREAM = 40_000, 100_000
-REMEMBERED = 500_000
+#: Windows in a piece at most: their places then fit in the low bits of a number.
+LONGEST = 16
+#: A table of one small row a shard is sent to all tasks up to this many rows (1 MB), and joined beyond.
+FEW = 50_000
 
 _draw = np.random.default_rng(20_240_601)
 _FACTORS = (_draw.integers(0, 1 << 64, (3, WINDOW), np.uint64) | np.uint64(1)).astype(np.uint64)
-_known: dict[bytes, int] = {}
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    try:
-        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        for w in words:
-            if w not in _known:
-                _known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -87,13 +81,10 @@ def window_marks(a: np.ndarray) -> np.ndarray:
     return np.minimum(m[:n], m[SPAN - width : SPAN - width + n]).view(np.int64)
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-
-
-def _texts(column: pa.Array) -> list[list[bytes]]:
-    return [(t or b"").split() for t in column.cast(pa.binary()).to_pylist()]
+def _texts(column: pa.Array) -> Iterator[list[bytes]]:
+    """The words of one text after the other: a batch's words at once would be many times its size."""
+    for t in column.cast(pa.binary()):
+        yield (t.as_py() or b"").split()
 
 
 def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,113 +94,131 @@ def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*marks, np.empty(0, np.int64)])), b.column(0).take(row), b.column(1).take(row)], ["mark", "id", "t"])
 
 
-_SEGMENT = "id long, t long, start int, body string"
-
-
-def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        row, start, body = [], [], []
-        for i, (words, marks) in enumerate(zip(_texts(b.column(2)), b.column(3), strict=True)):
-            if len(words) >= WINDOW:
-                for s, e in _runs(np.isin(window_marks(word_hashes(words)), marks.values.to_numpy())):
-                    row.append(i)
-                    start.append(s)
-                    body.append(b" ".join(words[s : e + WINDOW - 1]))
-        take = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(start, pa.int32()), pa.array(body, pa.binary()).cast(pa.string())], ["id", "t", "start", "body"])
-
-
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments as rows (w1, w2, id, t, at): the hashes of each window and its first word's place."""
-    for b in batches:
-        w1, w2, at = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for words, start in zip(_texts(b.column(3)), b.column(2).to_pylist(), strict=True):
-            a = word_hashes(words)
-            w1.append(_sums(a, WINDOW, 1))
-            w2.append(_sums(a, WINDOW, 2))
-            at.append(np.arange(start, start + len(words) - WINDOW + 1))
-        row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in at[1:]]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(w1).view(np.int64)), pa.array(np.concatenate(w2).view(np.int64)), b.column(0).take(row), b.column(1).take(row), pa.array(np.concatenate(at).astype(np.int32))], ["w1", "w2", "id", "t", "at"])
+_PIECE = "mark long, id long, t long, start int, body string, w1 array<long>, w2 array<int>"
 
 
-_PIECE = "mark long, id long, t long, start int, body string"
+def _window_hashes(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of the windows that begin at ``at``."""
+    out = []
+    for which in (1, 2):
+        h = a[at] * _FACTORS[which, 0]
+        for j in range(1, WINDOW):
+            h += a[at + j] * _FACTORS[which, j]
+        out.append(_mix(h))
+    return out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments (with the places of confirmed windows as a fifth column, or without: all) as the pieces of one mark each."""
+    """Documents and the shared marks among theirs, as pieces: runs of windows under one such mark, with the windows' hashes."""
+    none = np.empty(0, np.int64)
     for b in batches:
-        row, mark, start, body = [], [], [], []
-        for i, (words, s0) in enumerate(zip(_texts(b.column(3)), b.column(2).to_pylist(), strict=True)):
-            marks = window_marks(word_hashes(words))
-            ok = np.ones(len(marks), bool)
-            if b.num_columns > 4:
-                places = b.column(4)[i].values.to_numpy() - s0
-                ok[:] = False
-                ok[places[(places >= 0) & (places < len(marks))]] = True
-            # a new piece where the mark changes
-            cut = np.flatnonzero(np.diff(marks)) + 1
-            for lo, hi in _runs(ok):
-                ends = [lo, *cut[(cut > lo) & (cut < hi)].tolist(), hi]
-                for s, e in zip(ends[:-1], ends[1:], strict=True):
-                    row.append(i)
-                    mark.append(int(marks[s]))
-                    start.append(s0 + s)
-                    body.append(b" ".join(words[s : e + WINDOW - 1]))
-        take = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(mark, pa.int64()), b.column(0).take(take), b.column(1).take(take), pa.array(start, pa.int32()), pa.array(body, pa.binary()).cast(pa.string())], ["mark", "id", "t", "start", "body"])
+        for begin in range(0, b.num_rows, 1000):
+            part = b.slice(begin, 1000)
+            row, mark, start, size, body = [none], [none], [none], [none], []
+            w1, w2 = [none], [none.astype(np.int32)]
+            for i, (words, own) in enumerate(zip(_texts(part.column(2)), part.column(3), strict=True)):
+                if len(words) < WINDOW:
+                    continue
+                a = word_hashes(words)
+                marks = window_marks(a)
+                at = np.flatnonzero(np.isin(marks, own.values.to_numpy()))
+                if not len(at):
+                    continue
+                # a new piece where a run begins, where the mark changes and every LONGEST windows
+                new = np.append(True, (at[1:] != at[:-1] + 1) | (marks[at[1:]] != marks[at[:-1]]) | (at[1:] % LONGEST == 0))
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, len(at)))
+                s = at[first]
+                line = b" ".join(words)
+                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # one past the space behind each word
+                body += [line[x:y] for x, y in zip((ends[s] - np.array([len(words[k]) for k in s]) - 1).tolist(), (ends[s + n + WINDOW - 2] - 1).tolist(), strict=True)]
+                row.append(np.full(len(s), i))
+                mark.append(marks[s])
+                start.append(s)
+                size.append(n)
+                one, two = _window_hashes(a, at)
+                w1.append(one)
+                w2.append(two)
+            take = pa.array(np.concatenate(row))
+            cuts = pa.array(np.append(0, np.cumsum(np.concatenate(size))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(w))) for w in (w1, w2)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(mark)), part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(start).astype(np.int32)), pa.array(body, pa.binary()).cast(pa.string()), *lists], ["mark", "id", "t", "start", "body", "w1", "w2"])
+
+
+class _Symbols(dict):
+    """A character of a small alphabet for each word. Automata look their branches up one by one, so few of them must leave a node; a match of symbols is checked on the words."""
+
+    def __missing__(self, word: bytes) -> str:
+        if len(self) > 200_000:
+            self.clear()
+        c = self[word] = chr(1 + xxhash.xxh32_intdigest(word) % 199)
+        return c
 
 
 class Phrases:
-    """An automaton over word numbers: 13-word phrases and the smallest id that holds each."""
+    """An automaton over the symbols of 13-word phrases, with the phrases and the smallest id that holds each."""
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.first: dict[tuple[int, ...], int] = {}
-        self.automaton = None
-
-    def add(self, words: list[bytes], owner: int) -> None:
-        ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
-        for i in range(len(ids) - WINDOW + 1):
-            key = tuple(ids[i : i + WINDOW])
-            self.first[key] = min(owner, self.first.get(key, owner))
-
-    def find(self, words: list[bytes], owner: int) -> list[tuple[int, int]]:
-        """Merged word ranges of the phrases that a smaller id holds."""
         import ahocorasick
 
-        if self.automaton is None:
-            self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            for key, first in self.first.items():
-                self.automaton.add_word(key, first)
-            self.first = {}
-            if len(self.automaton):
-                self.automaton.make_automaton()
-        out: list[tuple[int, int]] = []
-        if len(self.automaton):
-            number = self.numbers.get
-            for end, first in self.automaton.iter(tuple([number(w, 0) for w in words])):
-                if first < owner:
-                    s = end - WINDOW + 1
-                    if out and s <= out[-1][1]:
-                        out[-1] = (out[-1][0], end + 1)
-                    else:
-                        out.append((s, end + 1))
+        self.automaton, self.symbols, self.marks, self.ready = ahocorasick.Automaton(), _Symbols(), set(), False
+
+    def add(self, mark: int, words: list[bytes], places: list[int], owner: int) -> None:
+        """The windows at ``places`` of a piece."""
+        line, automaton = "".join([self.symbols[w] for w in words]), self.automaton
+        self.marks.add(mark)
+        for i in places:
+            key, phrase = line[i : i + WINDOW], b" ".join(words[i : i + WINDOW])
+            held = automaton.get(key, None)
+            if held is None:
+                automaton.add_word(key, {phrase: owner})
+            else:
+                held[phrase] = min(owner, held.get(phrase, owner))
+
+    def find(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(first word, smallest id) of every phrase in a text."""
+        if not self.ready:
+            self.automaton.make_automaton()
+            self.ready = True
+        out = []
+        for end, held in self.automaton.iter("".join([self.symbols[w] for w in words])):
+            owner = held.get(b" ".join(words[end - WINDOW + 1 : end + 1]))
+            if owner is not None:
+                out.append((end - WINDOW + 1, owner))
         return out
 
 
+def _merged(found: list[tuple[int, int]], owner: int) -> list[tuple[int, int]]:
+    """Word ranges under the phrases that a smaller id holds."""
+    out: list[tuple[int, int]] = []
+    for s, first in found:
+        if first < owner:
+            if out and s <= out[-1][1]:
+                out[-1] = (out[-1][0], s + WINDOW)
+            else:
+                out.append((s, s + WINDOW))
+    return out
+
+
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard, salt and kind: a shard's passages (kind 0) come before what is streamed through them."""
-    at, phrases = None, Phrases()
+    """Rows sorted by shard, salt, kind and mark: a shard's passages (kind 0) come before what is streamed through them. Equal pieces of a mark are searched once."""
+    at, phrases, mark, known = None, Phrases(), None, {}
     for b in batches:
         found = [[], [], [], []]
-        shard, salt, kind, ids, ts, starts = (b.column(k).to_pylist() for k in range(6))
-        for i, words in enumerate(_texts(b.column(6))):
+        shard, salt, kind, marks, ids, ts, starts = (b.column(k).to_pylist() for k in range(7))
+        body = b.column(7).cast(pa.binary())
+        for i in range(b.num_rows):
             if (shard[i], salt[i]) != at:
-                at, phrases = (shard[i], salt[i]), Phrases()
+                at, phrases, mark = (shard[i], salt[i]), Phrases(), None
             if kind[i] == 0:
-                phrases.add(words, ids[i])
-            else:
-                for s, e in phrases.find(words, ids[i]):
+                phrases.add(marks[i], body[i].as_py().split(), b.column(8)[i].as_py(), ids[i])
+            elif marks[i] in phrases.marks:  # without a passage under its mark, nothing of a piece can recur
+                if marks[i] != mark or len(known) > 1000:
+                    mark, known = marks[i], {}
+                piece = body[i].as_py()
+                if piece not in known:
+                    known[piece] = phrases.find(piece.split())
+                for s, e in _merged(known[piece], ids[i]):
                     for column, value in zip(found, (ids[i], ts[i], starts[i] + s, starts[i] + e), strict=True):
                         column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["id", "t", "start", "stop"])
@@ -235,28 +244,32 @@ def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, Da
     """``docs``: (id, t, t2, text), t and t2 being hashes of the text. Returns (id, t, start, stop) of words to remove, and (id, t) of exact copies of smaller ids' texts."""
     n = partitions(docs.sparkSession)
     named = docs.where("id is not null")
-    firsts = named.groupBy("t", "t2").agg(F.min("id").alias("first"))
+    # written first, so that the join reads it as it is and a text with very many copies can be split
+    firsts = stages.put(named.groupBy("t", "t2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("t", "t2", "first"))
     copies = stages.put(named.select("id", "t", "t2").join(firsts, ["t", "t2"]).where("id > first").select("id", "t").distinct())
 
     marks = stages.put(named.select("id", "t", "text").mapInArrow(_mark_rows, "mark long, id long, t long"))
     shared = marks.groupBy("mark").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("mark")
-    held = marks.join(shared, "mark").join(copies, ["id", "t"], "left_anti").groupBy("id", "t").agg(F.collect_set("mark").alias("marks"))
-    segments = stages.put(named.select("id", "t", "text").join(held, ["id", "t"]).mapInArrow(_segment_rows, _SEGMENT))
+    held = marks.join(shared.hint("shuffle_hash"), "mark").join(copies, ["id", "t"], "left_anti").groupBy("id", "t").agg(F.collect_set("mark").alias("marks"))
+    held = stages.put(held)
     stages.drop(marks)
+    pieces = named.select("id", "t", "text").join(held, ["id", "t"]).mapInArrow(_piece_rows, _PIECE)
+    pieces = stages.put(pieces.withColumn("piece", F.monotonically_increasing_id()))
+    stages.drop(held)
 
-    windows = segments.mapInArrow(_window_rows, "w1 long, w2 long, id long, t long, at int")
-    confirmed = stages.put(windows.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.max("id").alias("last"), F.min_by("t", "id").alias("t"), F.min_by("at", "id").alias("at")).where("id < last").select("id", "t", "at"))
+    windows = pieces.select("id", "piece", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w")).select("w.w1", "w.w2", "id", (F.col("piece") * LONGEST + F.col("k")).alias("place"))
+    recurring = windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min_by("place", "id").alias("place")).where("first < last")
+    confirmed = stages.put(recurring.select(F.expr(f"place div {LONGEST}").alias("piece"), F.pmod("place", F.lit(LONGEST)).cast("int").alias("k")))
     shards = max(1, -(-confirmed.count() // SHARD))
-    shard = F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int").alias("shard")
-    passages = segments.join(confirmed.groupBy("id", "t").agg(F.collect_list("at").alias("places")), ["id", "t"]).select("id", "t", "start", "body", "places")
-    known = passages.mapInArrow(_piece_rows, _PIECE).select(shard, "id", "t", "start", "body")
-    pieces = stages.put(segments.mapInArrow(_piece_rows, _PIECE).select(shard, "id", "t", "start", "body"))
-    salts = pieces.groupBy("shard").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("salts"))
-    streamed = pieces.join(salts, "shard").select("shard", F.pmod(F.xxhash64("id", "start"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "id", "t", "start", "body")
-    compiled = known.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "id", "t", "start", "body")
-    dealt = compiled.unionByName(streamed).repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
+    bare = pieces.select(F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int").alias("shard"), "piece", "mark", "id", "t", "start", "body")
+    salts = bare.groupBy("shard").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("salts"))  # a row for each shard
+    salts = F.broadcast(salts) if shards <= FEW else salts
+    known = stages.put(bare.join(confirmed.groupBy("piece").agg(F.collect_list("k").alias("places")), "piece"))
+    streamed = bare.join(salts, "shard").select("shard", F.pmod(F.xxhash64("id", "start"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "mark", "id", "t", "start", "body", F.lit(None).cast("array<int>").alias("places"))
+    compiled = known.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "mark", "id", "t", "start", "body", "places")
+    dealt = compiled.unionByName(streamed).repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "kind", "mark")
     found = stages.put(dealt.mapInArrow(_locate, "id long, t long, start int, stop int"))
-    for done in (segments, confirmed, pieces):
+    for done in (confirmed, known, pieces):
         stages.drop(done)
     return found, copies
 
