@@ -81,7 +81,7 @@ RULES = (
     Rule("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", "5 * n_symbols > n_words"),
     Rule("word_length", "n_words > 0 and (word_chars < 2 * n_words or word_chars > 14 * n_words)"),
-    Rule("repeated_lines", "n_lines >= 4 and 10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_lines", "n_lines >= 4 and 10 * n_dup_lines > 6 * n_lines"),
     Rule("shouting", "n_letters > 0 and 10 * n_upper > 4 * n_letters"),
     Rule("exclamations", "10 * n_bangs > 3 * n_words"),
     Rule("no_letters", "2 * n_letters < word_chars"),
