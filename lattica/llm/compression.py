@@ -29,6 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .labelled import sample_ids, texts_of
 
 TEXTS, PIECES, PIECE, CALIBRATION = 3_000, 3_000, 4_000, 4_000
@@ -87,6 +88,7 @@ class Model:
                 score = 1 / (1 + np.exp(-np.clip(features(sizes) @ self.weights, -30, 30)))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(sizes[:, 1]), pa.array(sizes[:, 2])], ["id", "score", "predicted", "size_good", "size_bad"])
 
+        ship(docs.sparkSession)
         return docs.select("id", "text").mapInArrow(run, "id long, score double, predicted int, size_good long, size_bad long")
 
 
@@ -103,6 +105,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, seed: int = 11) -> Model:
     """``docs``: (id, text); ``labels``: (id, label 0 or 1). ``train`` tells from the column id which rows may be learnt from."""
+    ship(docs.sparkSession)
     labels, known = labels.where("label is not null").where(train), []
     shares = {r["label"]: r["n"] for r in labels.where("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2:

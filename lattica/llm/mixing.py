@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import StageTables, words_of
+from .common import StageTables, ship, words_of
 
 #: Budgets up to this are filled by the exact knapsack; a larger rest first takes documents from the longest down.
 EXACT = 1 << 16
@@ -87,6 +87,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     Sources by code point, null last, weigh ``weights``, repeating; they share ``share`` times all words.
     """
     stages = StageTables(docs.sparkSession)
+    ship(docs.sparkSession)
     named = F.coalesce(F.concat(F.lit("s"), F.col(f"row.`{source_col}`")), F.lit("n"))  # never null, and as distinct as the sources
     sized = (
         docs.select(F.struct("*").alias("row"))

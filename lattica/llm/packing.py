@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, partitions
+from .common import StageTables, partitions, ship
 from .components import whole_groups
 
 GROUP, REMEMBERED = 16_384, 500_000
@@ -137,6 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
             columns += [pa.array(ids, pa.list_(pa.int32()))] if with_ids else []
             yield pa.RecordBatch.from_arrays(columns, ["id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
+    ship(docs.sparkSession)
     schema = "id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -172,6 +173,7 @@ def best_fit(demands: np.ndarray, capacity: np.ndarray, weights: np.ndarray) ->
 def pack(found: DataFrame, length: int = 2048, documents: int = 512, attention: float | None = None, weights: tuple[float, float, float] = (1.0, 0.01, 0.01)) -> DataFrame:
     """``pieces`` with sequence_id and offset. ``documents`` and ``attention`` (squared tokens; by default a full sequence's) bound a sequence beside its tokens."""
     spark, stages = found.sparkSession, StageTables(found.sparkSession)
+    ship(spark)
     attention = float(length) ** 2 if attention is None else attention
     rows = stages.put(found.withColumn("uid", F.monotonically_increasing_id()))
     whole = rows.where(F.col("length") == length).withColumns({"sequence_id": F.col("uid"), "offset": F.lit(0).cast("long")})

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, partitions
+from .common import StageTables, partitions, ship
 from .components import components, forest, whole_groups
 
 BITS = 3
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["id", "fp"])
 
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
@@ -106,6 +107,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(fps: DataFrame) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints ``fp`` as all their links of BITS bits or fewer do."""
     n = partitions(fps.sparkSession)
+    ship(fps.sparkSession)
     cells = F.explode(F.array(*[F.struct(F.lit(k).alias("cell"), F.col("v").bitwiseAND(F.lit(_signed(m))).alias("key")) for k, m in enumerate(_cells())]))
     # counts of segments 0 to 30 by one subtraction, which never borrows; the last segment apart, as it holds the sign
     lower = F.expr(f"((fp & {(1 << 62) - 1}L) - (shiftrightunsigned(fp, 1) & {_LOW & ((1 << 62) - 1)}L)) & {(1 << 62) - 1}L")
@@ -143,7 +145,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = near_duplicates(docs, id_col, text_col)
     kept = found.where("id = component_id").select(F.col("id").alias("_kept")).distinct()
     stay = found.where("component_id is null").count()
-    named = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([id_col])
+    named = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi").dropDuplicates([id_col])
     if not stay:
         return named
     alone = found.where("component_id is null").select("fp").distinct()

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .labelled import sample_ids, texts_of
 
 POSITIVE, UNLABELLED = 4_000, 8_000
@@ -110,11 +111,13 @@ class Model:
                 score = 1 / (1 + np.exp(-np.clip(np.array(total, float), -30, 30)))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(n, pa.int32())], ["id", "score", "predicted", "n_features"])
 
+        ship(docs.sparkSession)
         return docs.select("id", "text").mapInArrow(run, "id long, score double, predicted int, n_features int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, prior: float | None = None, seed: int = 5) -> Model:
     """``docs``: (id, text); ``labels``: (id, label 0 or 1). ``train`` tells from the column id which rows may be learnt from. ``prior``: the share of toxic text, by default that of the labelled rows."""
+    ship(docs.sparkSession)
     labels = labels.where("label is not null").where(train)
     toxic = labels.where("label = 1").select("id").distinct()
     if prior is None:
