@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, partitions
+from .common import StageTables, partitions, ship
 from .components import components, forest, whole_groups
 
 #: k-means sees at most SAMPLE vectors, and makes CELLS centroids at most and no more than FLOATS numbers in all: the bound of what is sent to tasks.
@@ -132,7 +132,9 @@ def _compare(batches: Iterator[pa.RecordBatch], threshold: float, cells: int) ->
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for every row."""
     spark, stages = vectors.sparkSession, StageTables(vectors.sparkSession)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    ship(spark)
+    kind = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"  # moved as it came, compared in double precision
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"))
     fine = F.coalesce((F.size("v") > 0) & ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & F.exists("v", lambda c: c != 0), F.lit(False))
     distinct = stages.put(rows.where(fine).groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("copies")).select("first", "copies", "v", F.size("v").alias("d")))
     # a node for each distinct vector, whatever ids repeat or are missing
@@ -141,9 +143,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     for d, n in sorted((r["d"], r["count"]) for r in nodes.groupBy("d").count().collect()):  # a row for each vector length
         same = nodes.where(F.col("d") == d)
         sample = same.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).toPandas()["v"]
-        k = max(1, min(CELLS, FLOATS // d, len(sample), int(np.sqrt(n))))
+        k = max(1, min(CELLS, FLOATS // d, len(sample), int(np.sqrt(n) / 3)))  # more cells mean fewer comparisons, but more guests
         centroids = spherical_kmeans(_unit(np.stack(sample.to_numpy()).astype(np.float64)), k)
-        dealt = same.select("rep", "copies", "v").repartition(partitions(spark)).mapInArrow(lambda it, c=centroids: _assign(it, c, threshold), "rep long, copies long, v array<double>, cell int, home int, guests array<int>")
+        dealt = same.select("rep", "copies", "v").repartition(partitions(spark)).mapInArrow(lambda it, c=centroids: _assign(it, c, threshold), f"rep long, copies long, v {kind}, cell int, home int, guests array<int>")
         dealt = stages.put(dealt)
         sizes = dealt.groupBy("cell").agg(F.ceil(F.count_if(F.col("home") == F.col("cell")) / BLOCK).cast("int").alias("homes"), F.ceil(F.count_if(F.col("home") != F.col("cell")) / BLOCK).cast("int").alias("visits"))  # a row for each cell
         own = lambda blocks: F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
