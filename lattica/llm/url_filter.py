@@ -31,7 +31,7 @@ RULE_SCHEMA = "rule string, verdict string"
 
 def split_url(url: Column) -> tuple[Column, Column]:
     at = F.instr(url, "://")
-    rest = F.when(at > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("url"))).otherwise("")
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
     host = F.regexp_extract(rest, r"^[^/?#]*", 0)
     path = F.regexp_extract(F.regexp_replace(rest, r"^[^/?#]*", ""), r"^[^?#]*", 0)
     return F.coalesce(ascii_lower(host), F.lit("")), F.coalesce(path, F.lit(""))
