@@ -82,7 +82,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 

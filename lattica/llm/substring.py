@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, partitions
+from .common import StageTables, partitions, ship
 
 WINDOW, GRAM = 13, 5
 SPAN = WINDOW - GRAM + 1
@@ -45,6 +45,8 @@ SPAN = WINDOW - GRAM + 1
 SHARD, STREAM = 40_000, 100_000
 #: Windows in a piece at most: their places then fit in the low bits of a number.
 LONGEST = 16
+#: Parts that a shard's pieces are dealt to at most. Shards times this stay below 2^30.
+MOST_SALTS = 4_096
 #: A table of one small row a shard is sent to all tasks up to this many rows (1 MB), and joined beyond.
 FEW = 50_000
 
@@ -81,17 +83,41 @@ def window_marks(a: np.ndarray) -> np.ndarray:
     return np.minimum(m[:n], m[SPAN - width : SPAN - width + n]).view(np.int64)
 
 
+_LOW_HALF = (1 << 32) - 1
+
+
 def _texts(column: pa.Array) -> Iterator[list[bytes]]:
     """The words of one text after the other: a batch's words at once would be many times its size."""
     for t in column.cast(pa.binary()):
         yield (t.as_py() or b"").split()
 
 
+#: Documents whose words are hashed in one go: array operations cost by the call on short texts.
+TOGETHER = 500
+
+
+def _grouped(part: pa.RecordBatch, column: int) -> tuple[list[list[bytes]], np.ndarray, np.ndarray, np.ndarray]:
+    """The words of some texts, their hashes in a row, each text's first place in it, and the marks of all windows (those that cross texts among them)."""
+    texts = list(_texts(part.column(column)))
+    first = np.cumsum([0, *map(len, texts)])
+    a = word_hashes([w for words in texts for w in words])
+    marks = window_marks(a) if len(a) >= WINDOW else np.empty(0, np.int64)
+    return texts, a, first, marks
+
+
 def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        marks = [np.unique(window_marks(word_hashes(w))) if len(w) >= WINDOW else np.empty(0, np.int64) for w in _texts(b.column(2))]
-        row = pa.array(np.repeat(np.arange(len(marks)), [len(m) for m in marks]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*marks, np.empty(0, np.int64)])), b.column(0).take(row), b.column(1).take(row)], ["mark", "id", "t"])
+        for begin in range(0, b.num_rows, TOGETHER):
+            part = b.slice(begin, TOGETHER)
+            texts, _, first, marks = _grouped(part, 2)
+            windows = np.maximum(0, np.diff(first) - WINDOW + 1)
+            row = np.repeat(np.arange(len(texts)), windows)
+            own = marks[np.repeat(first[:-1], windows) + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)]
+            # a mark mostly comes back in the next window; one that comes back later is sent again
+            new = np.ones(len(own), bool)
+            new[1:] = (own[1:] != own[:-1]) | (row[1:] != row[:-1])
+            take = pa.array(row[new])
+            yield pa.RecordBatch.from_arrays([pa.array(own[new]), part.column(0).take(take), part.column(1).take(take)], ["mark", "id", "t"])
 
 
 _PIECE = "mark long, id long, t long, start int, body string, w1 array<long>, w2 array<int>"
@@ -100,6 +126,8 @@ _PIECE = "mark long, id long, t long, start int, body string, w1 array<long>, w2
 def _window_hashes(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """96 bits of the windows that begin at ``at``."""
     out = []
+    if not len(at):
+        return np.empty(0, np.int64), np.empty(0, np.int32)
     for which in (1, 2):
         h = a[at] * _FACTORS[which, 0]
         for j in range(1, WINDOW):
@@ -112,36 +140,35 @@ def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents and the shared marks among theirs, as pieces: runs of windows under one such mark, with the windows' hashes."""
     none = np.empty(0, np.int64)
     for b in batches:
-        for begin in range(0, b.num_rows, 1000):
-            part = b.slice(begin, 1000)
-            row, mark, start, size, body = [none], [none], [none], [none], []
-            w1, w2 = [none], [none.astype(np.int32)]
-            for i, (words, own) in enumerate(zip(_texts(part.column(2)), part.column(3), strict=True)):
+        for begin in range(0, b.num_rows, TOGETHER):
+            part = b.slice(begin, TOGETHER)
+            texts, a, first, all_marks = _grouped(part, 2)
+            row, mark, start, size, places, body = [none], [none], [none], [none], [none], []
+            for i, (words, own) in enumerate(zip(texts, part.column(3), strict=True)):
                 if len(words) < WINDOW:
                     continue
-                a = word_hashes(words)
-                marks = window_marks(a)
+                marks = all_marks[first[i] : first[i + 1] - WINDOW + 1]
                 at = np.flatnonzero(np.isin(marks, own.values.to_numpy()))
                 if not len(at):
                     continue
                 # a new piece where a run begins, where the mark changes and every LONGEST windows
-                new = np.append(True, (at[1:] != at[:-1] + 1) | (marks[at[1:]] != marks[at[:-1]]) | (at[1:] % LONGEST == 0))
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(at)))
-                s = at[first]
+                held = marks[at]
+                new = np.append(True, (at[1:] != at[:-1] + 1) | (held[1:] != held[:-1]) | (at[1:] % LONGEST == 0))
+                begins = np.flatnonzero(new)
+                n = np.diff(np.append(begins, len(at)))
+                s = at[begins]
                 line = b" ".join(words)
                 ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # one past the space behind each word
-                body += [line[x:y] for x, y in zip((ends[s] - np.array([len(words[k]) for k in s]) - 1).tolist(), (ends[s + n + WINDOW - 2] - 1).tolist(), strict=True)]
+                starts = np.append(0, ends)
+                body += [line[x:y] for x, y in zip(starts[s].tolist(), (ends[s + n + WINDOW - 2] - 1).tolist(), strict=True)]
                 row.append(np.full(len(s), i))
-                mark.append(marks[s])
+                mark.append(held[begins])
                 start.append(s)
                 size.append(n)
-                one, two = _window_hashes(a, at)
-                w1.append(one)
-                w2.append(two)
+                places.append(at + first[i])
             take = pa.array(np.concatenate(row))
             cuts = pa.array(np.append(0, np.cumsum(np.concatenate(size))).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(w))) for w in (w1, w2)]
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(w)) for w in _window_hashes(a, np.concatenate(places))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(mark)), part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(start).astype(np.int32)), pa.array(body, pa.binary()).cast(pa.string()), *lists], ["mark", "id", "t", "start", "body", "w1", "w2"])
 
 
@@ -201,21 +228,20 @@ def _merged(found: list[tuple[int, int]], owner: int) -> list[tuple[int, int]]:
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard, salt, kind and mark: a shard's passages (kind 0) come before what is streamed through them. Equal pieces of a mark are searched once."""
-    at, phrases, mark, known = None, Phrases(), None, {}
+    """Rows by ``place``, which holds group, kind and the low half of the mark from high bits to low: a group's passages (kind 0) come before what is streamed through them. Equal pieces of a mark are searched once."""
+    group, phrases, mark, known = None, Phrases(), None, {}
     for b in batches:
         found = [[], [], [], []]
-        shard, salt, kind, marks, ids, ts, starts = (b.column(k).to_pylist() for k in range(7))
-        body = b.column(7).cast(pa.binary())
-        for i in range(b.num_rows):
-            if (shard[i], salt[i]) != at:
-                at, phrases, mark = (shard[i], salt[i]), Phrases(), None
-            if kind[i] == 0:
-                phrases.add(marks[i], body[i].as_py().split(), b.column(8)[i].as_py(), ids[i])
-            elif marks[i] in phrases.marks:  # without a passage under its mark, nothing of a piece can recur
-                if marks[i] != mark or len(known) > 1000:
-                    mark, known = marks[i], {}
-                piece = body[i].as_py()
+        place, ids, ts, starts = (b.column(k).to_pylist() for k in range(4))
+        bodies, places = b.column(4).cast(pa.binary()).to_pylist(), b.column(5)
+        for i, (p, piece) in enumerate(zip(place, bodies, strict=True)):
+            if p >> 33 != group:
+                group, phrases, mark = p >> 33, Phrases(), None
+            if not p >> 32 & 1:
+                phrases.add(p & _LOW_HALF, piece.split(), places[i].as_py(), ids[i])
+            elif p & _LOW_HALF in phrases.marks:  # without a passage under its mark, nothing of a piece can recur
+                if p != mark or len(known) > 1000:
+                    mark, known = p, {}
                 if piece not in known:
                     known[piece] = phrases.find(piece.split())
                 for s, e in _merged(known[piece], ids[i]):
@@ -224,25 +250,38 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["id", "t", "start", "stop"])
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apply(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     """Whole texts with their ranges, or with the sign of a copy, as what is left of them."""
     for b in batches:
-        n, gone, kept = [], [], []
-        for words, ranges, copy in zip(_texts(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            stay = np.ones(len(words), bool)
-            if copy and len(words) >= WINDOW:
-                stay[:] = False
-            for r in ranges or ():
-                stay[r["start"] : r["stop"]] = False
+        n, gone, digests, kept = [], [], [], []
+        ranges, copies = b.column(2), b.column(3).to_pylist()
+        edges, ends = ranges.flatten(), np.cumsum(ranges.value_lengths().fill_null(0).to_numpy())
+        starts, stops = (edges.field(c).to_numpy() for c in ("start", "stop"))
+        for i, words in enumerate(_texts(b.column(1))):
+            lo, hi = int(ends[i - 1]) if i else 0, int(ends[i])
+            left = words
+            if copies[i] and len(words) >= WINDOW:
+                left = []
+            elif hi > lo:
+                depth = np.zeros(len(words) + 1, np.int64)
+                np.add.at(depth, starts[lo:hi], 1)
+                np.add.at(depth, stops[lo:hi], -1)
+                left = [words[k] for k in np.flatnonzero(np.cumsum(depth[:-1]) == 0)]
             n.append(len(words))
-            gone.append(int(len(words) - stay.sum()))
-            kept.append(b" ".join(words if not gone[-1] else [words[i] for i in np.flatnonzero(stay)]))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array(kept, pa.binary()).cast(pa.string())], ["id", "n_words", "n_removed", "kept_sha256", "kept"])
+            gone.append(len(words) - len(left))
+            line = b" ".join(left)
+            digests.append(hashlib.sha256(line).hexdigest())
+            if texts:
+                kept.append(line)
+        columns = [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
+        columns += [pa.array(kept, pa.binary()).cast(pa.string())] if texts else []
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_removed", "kept_sha256", "kept"][: len(columns)])
 
 
 def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, DataFrame]:
     """``docs``: (id, t, t2, text), t and t2 being hashes of the text. Returns (id, t, start, stop) of words to remove, and (id, t) of exact copies of smaller ids' texts."""
     n = partitions(docs.sparkSession)
+    ship(docs.sparkSession)
     named = docs.where("id is not null")
     # written first, so that the join reads it as it is and a text with very many copies can be split
     firsts = stages.put(named.groupBy("t", "t2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("t", "t2", "first"))
@@ -265,19 +304,25 @@ def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, Da
     salts = bare.groupBy("shard").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("salts"))  # a row for each shard
     salts = F.broadcast(salts) if shards <= FEW else salts
     known = stages.put(bare.join(confirmed.groupBy("piece").agg(F.collect_list("k").alias("places")), "piece"))
-    streamed = bare.join(salts, "shard").select("shard", F.pmod(F.xxhash64("id", "start"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "mark", "id", "t", "start", "body", F.lit(None).cast("array<int>").alias("places"))
-    compiled = known.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "mark", "id", "t", "start", "body", "places")
-    dealt = compiled.unionByName(streamed).repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "kind", "mark")
+    # one number to deal and sort by: group (shard and salt), kind, low half of the mark
+    low = F.col("mark").bitwiseAND(F.lit(_LOW_HALF))
+    place = lambda salt, kind: F.shiftleft(F.col("shard").cast("long") * MOST_SALTS + salt, 33) + kind * (1 << 32) + low
+    rest = ["id", "t", "start", "body"]
+    salts = salts.select("shard", F.least("salts", F.lit(MOST_SALTS)).alias("salts"))
+    streamed = bare.join(salts, "shard").select(place(F.pmod(F.xxhash64("id", "start"), F.col("salts")), F.lit(1)).alias("place"), *rest, F.lit(None).cast("array<int>").alias("places"))
+    compiled = known.join(salts, "shard").select("mark", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *rest, "places").select(place(F.col("salt"), F.lit(0)).alias("place"), *rest, "places")
+    dealt = compiled.unionByName(streamed).repartition(n, F.shiftright("place", 33)).sortWithinPartitions("place")
     found = stages.put(dealt.mapInArrow(_locate, "id long, t long, start int, stop int"))
     for done in (confirmed, known, pieces):
         stages.drop(done)
     return found, copies
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_removed, kept_sha256, kept) of every row; ``kept``: the words left, joined by one space."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
+    """(id, n_words, n_removed, kept_sha256[, kept]) of every row; ``kept``: the words left, joined by one space."""
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.xxhash64(F.lit(1), text_col).alias("t2"), F.col(text_col).alias("text"))
     found, copies = repeated_ranges(own, StageTables(docs.sparkSession))
     ranges = found.groupBy("id", "t").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"), F.lit(False).alias("copy"))
     marked = ranges.unionByName(copies.select("id", "t", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"), F.lit(True).alias("copy")))
-    return own.select("id", "t", "text").join(marked, ["id", "t"], "left").select("id", "text", "ranges", "copy").mapInArrow(_apply, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
+    return own.select("id", "t", "text").join(marked, ["id", "t"], "left").select("id", "text", "ranges", "copy").mapInArrow(lambda it: _apply(it, texts), schema)
