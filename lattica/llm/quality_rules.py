@@ -138,4 +138,7 @@ def ablations(book: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES)
 
 def keep_passing(docs: DataFrame, policy: Policy = DEFAULT, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that a policy keeps, with their own columns."""
-    return ledger(docs, text).where(passes(policy)).select("row.*")
+    # a filter may not move below a column that isn't deterministic: below the
+    # measurements it would compute them anew for each mention of them
+    book = ledger(docs, text).withColumn("seen", F.monotonically_increasing_id())
+    return book.where(passes(policy) & (F.col("seen") >= 0)).select("row.*")
