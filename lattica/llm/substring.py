@@ -190,11 +190,11 @@ class Phrases:
 
         self.automaton, self.symbols, self.marks, self.ready = ahocorasick.Automaton(), _Symbols(), set(), False
 
-    def add(self, mark: int, words: list[bytes], places: list[int], owner: int) -> None:
-        """The windows at ``places`` of a piece."""
+    def add(self, mark: int, words: list[bytes], places: int, owner: int) -> None:
+        """The windows of a piece whose bits are set in ``places``."""
         line, automaton = "".join([self.symbols[w] for w in words]), self.automaton
         self.marks.add(mark)
-        for i in places:
+        for i in (k for k in range(LONGEST) if places >> k & 1):
             key, phrase = line[i : i + WINDOW], b" ".join(words[i : i + WINDOW])
             held = automaton.get(key, None)
             if held is None:
@@ -233,12 +233,12 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = [[], [], [], []]
         place, ids, ts, starts = (b.column(k).to_pylist() for k in range(4))
-        bodies, places = b.column(4).cast(pa.binary()).to_pylist(), b.column(5)
+        bodies, places = b.column(4).cast(pa.binary()).to_pylist(), b.column(5).to_pylist()
         for i, (p, piece) in enumerate(zip(place, bodies, strict=True)):
             if p >> 33 != group:
                 group, phrases, mark = p >> 33, Phrases(), None
             if not p >> 32 & 1:
-                phrases.add(p & _LOW_HALF, piece.split(), places[i].as_py(), ids[i])
+                phrases.add(p & _LOW_HALF, piece.split(), places[i], ids[i])
             elif p & _LOW_HALF in phrases.marks:  # without a passage under its mark, nothing of a piece can recur
                 if p != mark or len(known) > 1000:
                     mark, known = p, {}
@@ -255,8 +255,8 @@ def _apply(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.Record
     for b in batches:
         n, gone, digests, kept = [], [], [], []
         ranges, copies = b.column(2), b.column(3).to_pylist()
-        edges, ends = ranges.flatten(), np.cumsum(ranges.value_lengths().fill_null(0).to_numpy())
-        starts, stops = (edges.field(c).to_numpy() for c in ("start", "stop"))
+        edges, ends = ranges.flatten().to_numpy(), np.cumsum(ranges.value_lengths().fill_null(0).to_numpy())
+        starts, stops = edges >> 32, edges & _LOW_HALF
         for i, words in enumerate(_texts(b.column(1))):
             lo, hi = int(ends[i - 1]) if i else 0, int(ends[i])
             left = words
@@ -289,10 +289,10 @@ def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, Da
 
     marks = stages.put(named.select("id", "t", "text").mapInArrow(_mark_rows, "mark long, id long, t long"))
     shared = marks.groupBy("mark").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("mark")
-    held = marks.join(shared.hint("shuffle_hash"), "mark").join(copies, ["id", "t"], "left_anti").groupBy("id", "t").agg(F.collect_set("mark").alias("marks"))
+    held = marks.join(shared.hint("shuffle_hash"), "mark").join(copies, ["id", "t"], "left_anti").groupBy("id", "t").agg(F.collect_list("mark").alias("marks"))
     held = stages.put(held)
     stages.drop(marks)
-    pieces = named.select("id", "t", "text").join(held, ["id", "t"]).mapInArrow(_piece_rows, _PIECE)
+    pieces = named.select("id", "t", "text").join(held.hint("shuffle_hash"), ["id", "t"]).mapInArrow(_piece_rows, _PIECE)
     pieces = stages.put(pieces.withColumn("piece", F.monotonically_increasing_id()))
     stages.drop(held)
 
@@ -303,13 +303,13 @@ def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, Da
     bare = pieces.select(F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int").alias("shard"), "piece", "mark", "id", "t", "start", "body")
     salts = bare.groupBy("shard").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("salts"))  # a row for each shard
     salts = F.broadcast(salts) if shards <= FEW else salts
-    known = stages.put(bare.join(confirmed.groupBy("piece").agg(F.collect_list("k").alias("places")), "piece"))
+    known = stages.put(bare.join(confirmed.groupBy("piece").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("places")).hint("shuffle_hash"), "piece"))
     # one number to deal and sort by: group (shard and salt), kind, low half of the mark
     low = F.col("mark").bitwiseAND(F.lit(_LOW_HALF))
     place = lambda salt, kind: F.shiftleft(F.col("shard").cast("long") * MOST_SALTS + salt, 33) + kind * (1 << 32) + low
     rest = ["id", "t", "start", "body"]
     salts = salts.select("shard", F.least("salts", F.lit(MOST_SALTS)).alias("salts"))
-    streamed = bare.join(salts, "shard").select(place(F.pmod(F.xxhash64("id", "start"), F.col("salts")), F.lit(1)).alias("place"), *rest, F.lit(None).cast("array<int>").alias("places"))
+    streamed = bare.join(salts, "shard").select(place(F.pmod(F.xxhash64("id", "start"), F.col("salts")), F.lit(1)).alias("place"), *rest, F.lit(0).alias("places"))
     compiled = known.join(salts, "shard").select("mark", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *rest, "places").select(place(F.col("salt"), F.lit(0)).alias("place"), *rest, "places")
     dealt = compiled.unionByName(streamed).repartition(n, F.shiftright("place", 33)).sortWithinPartitions("place")
     found = stages.put(dealt.mapInArrow(_locate, "id long, t long, start int, stop int"))
@@ -322,7 +322,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, n_words, n_removed, kept_sha256[, kept]) of every row; ``kept``: the words left, joined by one space."""
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.xxhash64(F.lit(1), text_col).alias("t2"), F.col(text_col).alias("text"))
     found, copies = repeated_ranges(own, StageTables(docs.sparkSession))
-    ranges = found.groupBy("id", "t").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"), F.lit(False).alias("copy"))
-    marked = ranges.unionByName(copies.select("id", "t", F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"), F.lit(True).alias("copy")))
+    ranges = found.groupBy("id", "t").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")).alias("ranges"), F.lit(False).alias("copy"))
+    marked = ranges.unionByName(copies.select("id", "t", F.lit(None).cast("array<long>").alias("ranges"), F.lit(True).alias("copy")))
     schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    return own.select("id", "t", "text").join(marked, ["id", "t"], "left").select("id", "text", "ranges", "copy").mapInArrow(lambda it: _apply(it, texts), schema)
+    return own.select("id", "t", "text").join(marked.hint("shuffle_hash"), ["id", "t"], "left").select("id", "text", "ranges", "copy").mapInArrow(lambda it: _apply(it, texts), schema)
