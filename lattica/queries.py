@@ -42,7 +42,7 @@ def _shared_dir(t: Tables) -> str:
     return f"{base.rstrip('/')}/lattica-io/{uuid.uuid4().hex}"
 
 
-_ESC = r"replace(replace(replace(replace(replace({}, '\', '\\'), '\"', '\\\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t')".replace(r"\"", '"')
+_ESC = r"""replace(replace(replace(replace(replace({}, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t')"""
 _SLUG = "replace(replace(lower(trim({})), '_', '-'), ' ', '-')"
 _STATUS = "case o_orderstatus when 'O' then 'OpenOrder' when 'F' then 'FilledOrder' when 'P' then 'PartialOrder' end"
 

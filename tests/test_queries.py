@@ -16,3 +16,9 @@ def test_every_operator_has_sql():
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query(spark, sf, name):
     assert compare(spark, sf, queries.QUERIES[name], queries.ORACLES[name]) or name in MAY_BE_EMPTY
+
+
+@pytest.mark.parametrize("name", ["literal_escape", "nquad_format", "rule_threshold", "severity_counts", "validation_report"])
+def test_query_on_more_rows(spark, name):
+    """Quotes in texts and rows past the thresholds occur only here."""
+    assert compare(spark, "/root/testdata/sf0.01", queries.QUERIES[name], queries.ORACLES[name])
