@@ -81,6 +81,41 @@ class StageTables:
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
+    def clear(self) -> None:
+        """Every table of this object goes."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Of all columns, nulls included: equal rows have equal hashes."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def first_rows(docs: DataFrame, grouped: DataFrame, stages: StageTables, id_col: str = "doc_id") -> DataFrame:
+    """One row of each group, with its own columns: that of the smallest id, and of rows that share it the smallest hash.
+
+    ``grouped``: (id, row, group) of every row, ``row`` being its ``row_hash``. Rows without id stay only where their group has none that has one.
+    """
+    rows = stages.put(grouped)
+    least = stages.put(rows.where("id is not null").groupBy("group").agg(F.min(F.struct("id", "row")).alias("r")).select("group", "r.id", "r.row"))
+    marked = docs.select("*", F.col(id_col).cast("long").alias("_id"), row_hash(docs).alias("_row"))
+    named = lambda which: marked.join(which, (F.col("_id") == F.col("id")) & (F.col("_row") == F.col("row")), "left_semi")
+    twice = stages.put(least.join(rows.groupBy("id", "row").count().where("count > 1").select("id", "row"), ["id", "row"], "left_semi").select("id", "row"))
+    alone = stages.put(rows.where("id is null").join(least, "group", "left_anti").select("row").distinct())
+    if twice.isEmpty():
+        found = [named(least.select("id", "row"))]
+    else:  # rows that are the same in every column: any of them
+        twice = F.broadcast(twice) if twice.count() <= 100_000 else twice  # else the texts are shuffled for it
+        found = [named(least.select("id", "row").join(twice, ["id", "row"], "left_anti")), named(twice).dropDuplicates(["_id", "_row"])]
+    if not alone.isEmpty():
+        found.append(marked.where("_id is null").join(alone, F.col("_row") == F.col("row"), "left_semi"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.drop("_id", "_row")
+
 
 _shipped: set[str] = set()
 
