@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, partitions, ship
+from .common import StageTables, first_rows, partitions, row_hash, ship
 from .components import components, forest, whole_groups
 
 BITS = 3
@@ -138,16 +138,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near-duplicates, with its own columns: that of the smallest id.
-
-    Rows without id stay only where nothing that has one is near them.
-    """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where("id = component_id").select(F.col("id").alias("_kept")).distinct()
-    stay = found.where("component_id is null").count()
-    named = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi").dropDuplicates([id_col])
-    if not stay:
-        return named
-    alone = found.where("component_id is null").select("fp").distinct()
-    marks = fingerprints(docs.where(F.col(id_col).isNull()).select(F.xxhash64(text_col).alias("h"), text_col), "h", text_col).distinct()
-    return named.unionByName(docs.where(F.col(id_col).isNull()).join(marks.join(alone, "fp", "left_semi"), F.xxhash64(text_col) == F.col("id"), "left_semi"))
+    """One row of each group of near-duplicates, with its own columns: see ``first_rows``."""
+    stages = StageTables(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_hash(docs).alias("row"), F.col(text_col).alias("text"))
+    marked = stages.put(fingerprints(rows, "row", "text").select(F.col("id").alias("row"), "fp").distinct())
+    group = components(near_links(marked.select("fp").distinct()), stages)
+    of = marked.join(group, F.col("fp") == F.col("node"), "left").select("row", F.coalesce("component", "fp").alias("group"))
+    return first_rows(docs, rows.select("id", "row").join(of, "row").select("id", "row", "group"), stages, id_col)

@@ -6,7 +6,7 @@ import corpus_pipeline
 from fixtures import DOC_SCHEMA, PROSE, odd_frame
 from test_dedup import roots
 
-from lattica.llm import shingles
+from lattica.llm import shingles, simhash
 from lattica.llm.common import StageTables
 
 
@@ -65,8 +65,21 @@ def test_odd_rows(spark):
     assert near(plain_set(PROSE), plain_set("no id here " + PROSE))
 
 
-def test_a_shared_id_keeps_what_nothing_is_near(spark):
+def shared_ids():
     one, other = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
     rows = [(1, one, "en", "s", 0), (2, one, "en", "s", 0), (2, other, "en", "s", 0), (2, other, "fr", "s", 0), (2, other, "fr", "s", 0)]
-    kept = [sorted((r["doc_id"], r["text"]) for r in shingles.keep_one(spark.createDataFrame(x, DOC_SCHEMA)).collect()) for x in (rows, rows[::-1])]
-    assert kept[0] == kept[1] == [(1, one), (2, other)]
+    return rows, [(1, one), (2, other)]
+
+
+def check_shared(spark, keep_one):
+    rows, want = shared_ids()
+    kept = [sorted(tuple(r) for r in keep_one(spark.createDataFrame(x, DOC_SCHEMA)).collect()) for x in (rows, rows[::-1])]
+    assert [r[:2] for r in kept[0]] == want and kept[0] == kept[1]
+
+
+def test_a_shared_id_keeps_what_nothing_is_near(spark):
+    check_shared(spark, shingles.keep_one)
+
+
+def test_simhash_too_keeps_rows_and_not_ids(spark):
+    check_shared(spark, simhash.keep_one)
