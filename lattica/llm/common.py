@@ -37,14 +37,16 @@ def ascii_lower(text: Column) -> Column:
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """The shared folder for stage tables.
+    """The shared folder for stage tables: what ``spark.checkpoint.dir`` names.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, notebooks on one machine) a temporary folder of this machine is used.
+    Where that is unset, a session on one machine (tests, notebooks) uses a
+    temporary folder of its own; on a cluster that would lose rows, so there it is an error.
     """
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("lattica.local.stage.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lattica-stage-")
         spark.conf.set("lattica.local.stage.dir", base)
     return f"{base.rstrip('/')}/lattica/{conf.get('spark.app.id', 'app')}"
@@ -54,11 +56,21 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class StageTables:
-    """Tables written to the shared folder to cut lineage, so that a lost executor costs a read and no recomputation."""
+    """Tables written to the shared folder to cut lineage, so that a lost executor costs a read and no recomputation.
+
+    An operator drops a table when it has served. What its result still reads
+    stays as long as the application, whose end takes the whole folder away.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root = spark, f"{stage_dir(spark)}/{uuid.uuid4().hex}"
-        self.count = 0
+        home = stage_dir(spark)
+        self.spark, self.root, self.count = spark, f"{home}/{uuid.uuid4().hex}", 0
+        p, files = self._at(home)
+        files.deleteOnExit(p)
+
+    def _at(self, path: str) -> tuple:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def put(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -74,17 +86,16 @@ class StageTables:
         out._stage_path = path
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        path = getattr(df, "_stage_path", None)
-        if path:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            if path := getattr(df, "_stage_path", None):
+                p, files = self._at(path)
+                files.delete(p, True)
 
     def clear(self) -> None:
         """Every table of this object goes."""
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        p, files = self._at(self.root)
+        files.delete(p, True)
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -94,27 +105,23 @@ def row_hash(df: DataFrame) -> Column:
 
 
 def first_rows(docs: DataFrame, grouped: DataFrame, stages: StageTables, id_col: str = "doc_id") -> DataFrame:
-    """One row of each group, with its own columns: that of the smallest id, and of rows that share it the smallest hash.
+    """One row of each group, with its own columns: that of the smallest id, and of rows that share it the smallest hash; a row without id only where the group has no other.
 
-    ``grouped``: (id, row, group) of every row, ``row`` being its ``row_hash``. Rows without id stay only where their group has none that has one.
+    ``grouped``: (id, row, group) of every row, ``row`` being its ``row_hash``. Names of ``docs`` never clash: its rows travel in a struct.
     """
-    rows = stages.put(grouped)
-    least = stages.put(rows.where("id is not null").groupBy("group").agg(F.min(F.struct("id", "row")).alias("r")).select("group", "r.id", "r.row"))
-    marked = docs.select("*", F.col(id_col).cast("long").alias("_id"), row_hash(docs).alias("_row"))
-    named = lambda which: marked.join(which, (F.col("_id") == F.col("id")) & (F.col("_row") == F.col("row")), "left_semi")
-    twice = stages.put(least.join(rows.groupBy("id", "row").count().where("count > 1").select("id", "row"), ["id", "row"], "left_semi").select("id", "row"))
-    alone = stages.put(rows.where("id is null").join(least, "group", "left_anti").select("row").distinct())
-    if twice.isEmpty():
-        found = [named(least.select("id", "row"))]
-    else:  # rows that are the same in every column: any of them
-        twice = F.broadcast(twice) if twice.count() <= 100_000 else twice  # else the texts are shuffled for it
-        found = [named(least.select("id", "row").join(twice, ["id", "row"], "left_anti")), named(twice).dropDuplicates(["_id", "_row"])]
-    if not alone.isEmpty():
-        found.append(marked.where("_id is null").join(alone, F.col("_row") == F.col("row"), "left_semi"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.drop("_id", "_row")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    rows = grouped.select("group", rank.alias("rank")).groupBy("group", "rank").agg(F.count("*").alias("n"))  # rows that are the same in every column fall together
+    rows = stages.put(rows)
+    first = rows.groupBy("group").agg(F.min("rank").alias("first"))
+    gone = stages.put(rows.join(first, "group").where("rank <> first").select("rank.id", "rank.row").distinct())
+    twice = stages.put(rows.where("n > 1").select("rank.id", "rank.row").distinct())
+    stages.drop(rows)
+    own = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("_id"), row_hash(docs).alias("_row"))
+    is_one_of = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row"))
+    left = own.join(gone, is_one_of, "left_anti")
+    if not twice.isEmpty():
+        left = left.join(twice, is_one_of, "left_anti").unionByName(left.join(twice, is_one_of, "left_semi").dropDuplicates(["_id", "_row"]))
+    return left.select("doc.*")
 
 
 _shipped: set[str] = set()

@@ -20,9 +20,9 @@ from .common import StageTables
 
 
 def components(links: DataFrame, stages: StageTables) -> DataFrame:
-    """``links``: (a long, b long). Returns (node, component) for every linked node; component is its smallest node.
+    """``links``: (a, b) of any one type that has an order. Returns (node, component) for every linked node; component is its smallest node.
 
-    Loops and repeated links do no harm; nodes without links don't appear; an empty table gives an empty result.
+    A node that begins with what is to name its component (a struct of id and number, say) saves a join on the component. Loops and repeated links do no harm; nodes without links don't appear; an empty table gives an empty result.
     """
     now = stages.put(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while not now.isEmpty():
