@@ -1,18 +1,17 @@
-"""Near-duplicates by the exact similarity of word shingles.
-
-Two texts link if the Jaccard similarity of their sets of ``size`` words in a
-row (64-bit hashes) is ``similar`` or more. Links are found by prefix filtering,
-which loses none: with every set in one fixed order, similar sets share an
-element among their first n - ceil(similar * n) + 1, so each set goes to a cell
-for each of those; sizes and places left rule out most pairs of a cell, and the
-rest are settled on the whole sets. The order puts shingles that a sample finds
-in many documents last, so that boilerplate makes no cells; any order gives the
-same links. Copies are collapsed before. Large groups of texts that really are
-near each other still cost their pairs.
-
-Defined results: case is ignored for ASCII; a text of fewer words is one
-shingle; texts without words (null, empty) form one group; rows that share an
-id are judged row by row; an empty table gives an empty result.
+"""Exact similarity of word shingles: candidates by prefix filtering, confirmation on whole sets.
+
+Two texts are similar if the Jaccard similarity of their sets of ``size`` words
+in a row (64-bit hashes) is ``least`` or more. Prefix filtering loses no such
+pair: with every set in one fixed order, similar sets share an element among
+their first n - ceil(least * n) + 1, so each set goes to a cell for each of
+those; sizes and places left rule out most pairs of a cell, and the rest are
+settled on the whole sets. The order puts shingles that a sample finds in many
+documents last, so that boilerplate makes no cells; any order gives the same
+links. Sets are made from the texts where they are needed and never stored,
+but for those in question.
+
+``simhash`` has joined up large groups of near copies before; pairs of one
+group are not compared again here.
 """
 
 from __future__ import annotations
@@ -26,38 +25,49 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, first_rows, partitions, row_hash, ship
-from .components import components, whole_groups
+from .common import StageTables, partitions
+from .components import whole_groups
 
+#: The order is learnt from a hundredth of the documents, or from so many if that is more; a shingle counts as frequent from OFTEN on, MOST of them at most.
 SAMPLE, OFTEN, MOST, CHUNK = 20_000, 3, 100_000, 1 << 20
+#: Rows that a task remembers, to read equal rows once.
+SEEN = 1_000_000
 
 
 def shingles(text: bytes, size: int) -> np.ndarray:
-    """Distinct hashes, ascending."""
+    """Distinct hashes, ascending; a text of fewer words is one shingle."""
     words, digest = text.lower().split(), xxhash.xxh64_digest  # both of ASCII only, as the bytes type does
     if not words:
         return np.empty(0, np.int64)
     return np.unique(np.frombuffer(b"".join([digest(b" ".join(words[i : i + size])) for i in range(max(1, len(words) - size + 1))]), np.int64))
 
 
-def _frequent(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+def name(s: np.ndarray) -> bytes:
+    """128 bits that stand for a set."""
+    return xxhash.xxh3_128_digest(s.tobytes())
+
+
+def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that a sample of documents repeats, ascending, and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t or b"", size) for t in b.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["token"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.int64)]))], ["token"])
 
-    part = docs.select(text_col).sample(min(1.0, SAMPLE / max(1, docs.count())), seed=42)
+    part = texts.select("text").sample(min(1.0, max(0.01, SAMPLE / max(1, texts.count()))), seed=42)
     rows = part.mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(MOST).collect()
     rows.sort()
     return np.array([r["token"] for r in rows], np.int64), np.array([r["count"] for r in rows], np.int64)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, row, key, n, hashes): a row's set in the common order; equal sets have one key."""
-    ship(docs.sparkSession)
-    often, count = _frequent(docs, text_col, size)
+def candidates(texts: DataFrame, known: DataFrame, size: int, least: Fraction) -> DataFrame:
+    """Pairs (a, b) of set names, each once, with every pair among them that is similar enough and not of one group.
+
+    ``texts``: (row, text). ``known``: (row, group) for rows that are joined up with others already; a null group marks a copy, which is passed over.
+    """
+    p, q = least.numerator, least.denominator
+    often, count = _frequent(texts, size)
 
     def ordered(s: np.ndarray) -> np.ndarray:
         if not len(often):
@@ -65,91 +75,91 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
         at = np.minimum(np.searchsorted(often, s), len(often) - 1)
         return s[np.argsort(np.where(often[at] == s, count[at], 0), kind="stable")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [shingles(t or b"", size) for t in b.column(2).cast(pa.binary()).to_pylist()]
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in found], np.uint64).view(np.int64)
-            columns = [b.column(0), b.column(1), pa.array(keys), pa.array([len(s) for s in found], pa.int64()), pa.array([ordered(s).tobytes() for s in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "key", "n", "hashes"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_hash(docs).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, row long, key long, n long, hashes binary")
-
-
-def _candidates(sets: DataFrame, similar: Fraction) -> DataFrame:
-    """Pairs (a, b) of keys, each once, with every pair that is similar enough among them."""
-    p, q = similar.numerator, similar.denominator
-
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            key, n = b.column(0).to_numpy(), b.column(1).to_numpy()
-            m = np.where(n > 0, n + (-p * n // q) + 1, 0)
-            token = np.concatenate([np.frombuffer(h, np.int64, k) for h, k in zip(b.column(2).to_pylist(), m, strict=True)])
-            place = np.arange(len(token)) - np.repeat(np.cumsum(m) - m, m)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, np.repeat(n, m), np.repeat(key, m), np.repeat(n, m) - place)], ["token", "n", "key", "rest"])
+            out: list[list] = [[], [], [], [], []]
+            for row, t, group in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if row in seen:
+                    continue
+                if len(seen) < SEEN:
+                    seen.add(row)
+                s = shingles(t or b"", size)
+                n = len(s)
+                m = n + (-p * n // q) + 1 if n else 0
+                for column, value in zip(out, (ordered(s)[:m], np.full(m, n), n - np.arange(m)), strict=False):
+                    column.append(value)
+                key = name(s)
+                out[3] += [key] * m
+                out[4] += [group or key] * m
+            none = [np.empty(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x + none).astype(k)) for x, k in zip(out[:3], (np.int64, np.int32, np.int32), strict=True)), *(pa.array(x, pa.binary()) for x in out[3:])], ["token", "n", "rest", "key", "group"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            ab = np.unique(np.sort(np.concatenate([np.stack(f, 1) for f in found]), axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
-
         for t, at in whole_groups(batches, ["token"]):
-            n, key, rest = (t.column(c).to_numpy() for c in ("n", "key", "rest"))
+            n, rest = (t.column(c).to_numpy().astype(np.int64) for c in ("n", "rest"))
+            key, group = (t.column(c).to_pylist() for c in ("key", "group"))
+            some: set[tuple[bytes, bytes]] = set()
 
-            def able(i, j, n=n, key=key, rest=rest):
+            def able(i, j, n=n, rest=rest):
                 # of the sizes, and of what can still be common from here on
                 return (q * np.minimum(n[i], n[j]) >= p * np.maximum(n[i], n[j])) & ((p + q) * np.minimum(rest[i], rest[j]) >= p * (n[i] + n[j]))
 
-            size = np.diff(at)
-            two = at[:-1][size == 2]
-            two = two[able(two, two + 1)]
-            found, held = [(key[two], key[two + 1])], len(two)
-            for s, m in zip(at[:-1][size > 2], size[size > 2], strict=True):
+            def add(i: int, j: int, key=key, group=group, some=some) -> None:
+                if group[i] != group[j]:
+                    some.add((key[i], key[j]) if key[i] < key[j] else (key[j], key[i]))
+
+            sizes = np.diff(at)
+            two = at[:-1][sizes == 2]
+            for i in two[able(two, two + 1)].tolist():
+                add(i, i + 1)
+            for s, m in zip(at[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+                if len(set(group[s : s + m])) == 1:
+                    continue
                 last = s + np.searchsorted(n[s : s + m], q * n[s : s + m] // p, "right")  # rows of a cell come by size
                 for i in range(s, s + m - 1):
                     j = np.arange(i + 1, last[i - s])
-                    j = j[able(i, j)]
-                    if len(j):
-                        found.append((np.full(len(j), key[i]), key[j]))
-                        held += len(j)
-                        if held > CHUNK:
-                            yield out(found)
-                            found, held = [], 0
-            if held:
-                yield out(found)
-
-    cells = sets.select("key", "n", "hashes").mapInArrow(prefixes, "token long, n long, key long, rest long")
-    return cells.repartition(partitions(sets.sparkSession), "token").sortWithinPartitions("token", "n").mapInArrow(pairs, "a long, b long").distinct()
-
-
-def _similar(batches: Iterator[pa.RecordBatch], similar: Fraction) -> Iterator[pa.RecordBatch]:
-    p, q = similar.numerator, similar.denominator
+                    for k in j[able(i, j)].tolist():
+                        add(i, k)
+                    if len(some) > CHUNK:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*some, strict=True)], ["a", "b"])
+                        some.clear()
+            if some:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*some, strict=True)], ["a", "b"])
+
+    # by its columns' names, for ``known`` may be large or small: where it is small no text is moved
+    rows = texts.join(known.withColumn("known", F.lit(True)), "row", "left").where("known is null or group is not null").select("row", "text", "group")
+    cells = rows.mapInArrow(prefixes, "token long, n int, rest int, key binary, group binary")
+    return cells.repartition(partitions(texts.sparkSession), "token").sortWithinPartitions("token", "n").mapInArrow(pairs, "a binary, b binary").distinct()
+
+
+def _similar(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
+    p, q = least.numerator, least.denominator
     for b in batches:
         x, y = ([np.frombuffer(h, np.int64) for h in b.column(k).to_pylist()] for k in (2, 3))
         keep = [(p + q) * len(np.intersect1d(u, v, assume_unique=True)) >= p * (len(u) + len(v)) for u, v in zip(x, y, strict=True)]
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (b.column(0), b.column(1))], ["a", "b"])
 
 
-def groups(docs: DataFrame, stages: StageTables, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similar: float = 0.8) -> DataFrame:
-    """(id, row, group) for every row: rows of one group are reachable over links. ``row``: the hash of the row."""
-    if not 0 < similar <= 1:
-        raise ValueError("similar must be above 0 and at most 1")
-    t = Fraction(str(similar))
-    marks = stages.put(_sets(docs, id_col, text_col, size).withColumn("uid", F.monotonically_increasing_id()))
-    first = marks.groupBy("key").agg(F.min("uid").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("key", "first")
-    copies = stages.put(marks.select("key", "uid").join(first, "key").where("uid <> first").select("uid"))
-    sets = marks.join(copies, "uid", "left_anti")
-    pairs = stages.put(_candidates(sets, t))
+def confirmed(pairs: DataFrame, texts: DataFrame, keys: DataFrame, stages: StageTables, size: int, least: Fraction) -> DataFrame:
+    """Those of ``pairs`` (a, b: set names) that are similar. ``keys``: (key, row), a row for each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for b in batches:
+            out = {}
+            for key, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                if key not in seen:
+                    seen.add(key)
+                    out[key] = shingles(t or b"", size).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["key", "hashes"])
+
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    members = stages.put(sets.select("key", "hashes").join(ends, "key", "left_semi"))
-    both = pairs.join(members.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a").join(members.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
-    linked = components(both.mapInArrow(lambda batches: _similar(batches, t), "a long, b long"), stages)
-    return marks.select("id", "row", "key").join(linked, F.col("key") == F.col("node"), "left").select("id", "row", F.coalesce("component", "key").alias("group"))
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similar: float = 0.8) -> DataFrame:
-    """One row of each group of near-duplicates, with its own columns: see ``first_rows``."""
-    work, stages = StageTables(docs.sparkSession), StageTables(docs.sparkSession)
-    rows = stages.put(groups(docs, work, id_col, text_col, size, similar))
-    work.clear()  # the sets are larger than the texts
-    return first_rows(docs, rows, stages, id_col)
+    rows = stages.put(keys.select("key", "row").join(ends, "key", "left_semi"))
+    members = stages.put(texts.join(rows, "row").select("key", "text").mapInArrow(run, "key binary, hashes binary"))
+    if members.count() > rows.count():  # rows that are the same in every column
+        members = stages.put(members.groupBy("key").agg(F.first("hashes").alias("hashes")))
+    side = lambda k, v: members.select(F.col("key").alias(k), F.col("hashes").alias(v))
+    # a, which many pairs may share, comes last: its set is then not moved along with each pair
+    both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")
+    return both.mapInArrow(lambda it: _similar(it, least), "a binary, b binary")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from fixtures import odd_frame, with_clashes
 from pyspark.sql import functions as F
@@ -107,8 +108,13 @@ def test_manhattan_is_a_lower_bound():
     assert (simhash.manhattan(pa ^ pb) <= np.bitwise_count(a ^ b)).all()
 
 
+def test_the_grid_follows_the_number_of_fingerprints():
+    sizes = [simhash.grid(10**k) for k in range(2, 12)]
+    assert sizes == sorted(sizes) and sizes[0] < sizes[-1]
+
+
 def test_keep_one(spark):
-    kept = simhash.keep_one(odd_frame(spark)).collect()
+    kept = simhash.keep_one(odd_frame(spark), size=3, similar=None).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 4, 5, 7, 8, 9, 10, 11, 12, 13]
     assert sum(r["doc_id"] is None for r in kept) == 1
 
@@ -147,11 +153,54 @@ def odd_vectors(spark):
 
 def test_vectors_match_brute_force(spark, monkeypatch):
     assert check_vectors(odd_vectors(spark))
-    monkeypatch.setattr(embeddings, "BLOCK", 8)
+    for name, value in (("BLOCK", 8), ("STREAM", 20), ("TILE", 4)):
+        monkeypatch.setattr(embeddings, name, value)
     check_vectors(odd_vectors(spark))
     check_vectors(odd_vectors(spark).limit(0))
 
 
+def scaled_copies(spark, seed, kind, whole):
+    """Three directions, many lengths: cells whose centroids all but coincide."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for v in rng.normal(size=(3, 32)):
+        for k in range(400):
+            scale = float(k + 1) if whole else float(rng.uniform(0.01, 100))
+            rows.append((len(rows), [float(c) for c in np.float32(v) * (np.float32(scale) if kind == "float" else scale)]))
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+
+
+@pytest.mark.parametrize("seed", [2, 3, 4])
+def test_scaled_copies_lose_no_link(spark, seed):
+    for kind, whole in (("double", False), ("float", True)):
+        found = embeddings.near_duplicates(scaled_copies(spark, seed, kind, whole)).collect()
+        assert {r["n_links"] for r in found} == {399} and {r["component_id"] for r in found} == {0, 400, 800}
+
+
+def test_far_lengths_link(spark):
+    rows = [(1, [1e-200, 1e-200]), (2, [1e200, 1e200]), (3, [1.0, 1.0]), (4, [1.0, -1.0]), (5, [5e-324, 5e-324])]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r["id"]: (r["n_links"], r["component_id"]) for r in got.collect()} == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
+def clustered(dims=768, clusters=60, each=25):
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=(clusters, dims))
+    return (np.repeat(c, each, axis=0) + rng.normal(scale=0.22, size=(clusters * each, dims))).astype(np.float32)
+
+
+def test_long_clustered_vectors(spark):
+    x = clustered()
+    frame = spark.createDataFrame([(i, [float(f) for f in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = (u @ u.T >= 0.95).sum(1) - 1
+    assert want.min() < want.max()
+    got = {r["id"]: r["n_links"] for r in embeddings.near_duplicates(frame).collect()}
+    assert [got[i] for i in range(len(x))] == want.tolist()
+    some = {r["id"]: r["n_links"] for r in embeddings.near_duplicates(frame, probes=2).collect()}
+    assert sum(some.values()) >= 0.9 * want.sum() and all(some[i] <= n for i, n in enumerate(want))
+
+
 def test_vector_recall_is_whole(spark):
     check_vectors(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"))
 

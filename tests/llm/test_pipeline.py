@@ -3,9 +3,10 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from test_dedup import plain_fingerprint, roots
+from test_dedup import roots
 from test_mix_pack import plain_targets
 from test_native import base_spans, entropy_spans, measures
+from test_shingles import near, plain_set
 from tokenizers import Tokenizer
 
 from lattica.llm import quality_rules
@@ -33,9 +34,9 @@ def test_stages(spark):
     assert all(r["doc_id"] in kept for r in before if labels.get(r["doc_id"]) == 1 and measures(r["text"])[0] >= 50)
 
     before, after = seen["SimHash near-duplicates"]
-    fp = {r["doc_id"]: plain_fingerprint(r["text"]) for r in before}
-    ids = sorted(fp)
-    root = roots(ids, [(a, b) for i, a in enumerate(ids) for b in ids[:i] if (fp[a] ^ fp[b]).bit_count() <= 3])
+    sets = {r["doc_id"]: plain_set(r["text"]) for r in before}
+    ids = sorted(sets)
+    root = roots(ids, [(a, b) for i, a in enumerate(ids) for b in ids[:i] if near(sets[a], sets[b])])
     assert sorted(r["doc_id"] for r in after) == sorted(set(root.values()))
 
     before, after = seen["secret scan"]

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from fixtures import DOC_SCHEMA, PROSE, odd_frame
+from fixtures import DOC_SCHEMA, PROSE, odd_frame, with_clashes
 from test_dedup import roots
 
 from lattica.llm import shingles, simhash
@@ -58,9 +58,9 @@ def test_chunks_lose_no_pair(spark, monkeypatch):
 
 
 def test_odd_rows(spark):
-    kept = shingles.keep_one(odd_frame(spark)).collect()
+    kept = simhash.keep_one(odd_frame(spark)).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 4, 5, 7, 8, 9, 10, 11, 12, 13]
-    groups = shingles.groups(odd_frame(spark), StageTables(spark)).collect()
+    groups = simhash.similar_groups(odd_frame(spark), StageTables(spark)).collect()
     assert len(groups) == odd_frame(spark).count() and sum(r["doc_id"] is None for r in kept) == 0
     assert near(plain_set(PROSE), plain_set("no id here " + PROSE))
 
@@ -78,8 +78,31 @@ def check_shared(spark, keep_one):
 
 
 def test_a_shared_id_keeps_what_nothing_is_near(spark):
-    check_shared(spark, shingles.keep_one)
+    check_shared(spark, simhash.keep_one)
 
 
-def test_simhash_too_keeps_rows_and_not_ids(spark):
-    check_shared(spark, simhash.keep_one)
+def test_by_bits_too_rows_and_not_ids_are_kept(spark):
+    check_shared(spark, lambda docs: simhash.keep_one(docs, similar=None))
+
+
+def test_a_clashing_column_and_rows_without_id(spark):
+    rows = [(1, PROSE), (None, PROSE), (None, "no " * 20), (None, "no " * 20), (2, PROSE + " x")]
+    docs = with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
+    for similar in (0.8, None):
+        kept = simhash.keep_one(docs, similar=similar)
+        assert kept.columns == docs.columns
+        found = [r["doc_id"] for r in kept.collect()]
+        assert found.count(None) == 1 and 1 in found
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Fingerprints join it up; what prefix filtering adds is far from its pairs."""
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(9000)}" for _ in range(300)]
+    rows = []
+    for i in range(400):
+        text = list(words)
+        for _ in range(rng.randrange(1, 4)):
+            text[rng.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(text), "en", "s", 0))
+    assert [r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, DOC_SCHEMA)).collect()] == [0]
