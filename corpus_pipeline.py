@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import mixing, packing, quality_rules, secrets, shingles
+from lattica.llm import mixing, packing, quality_rules, secrets, simhash
 from lattica.llm.common import StageTables
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: that of the smallest id. Links: five-word shingles, similarity 0.8 or more, none lost."""
-    return shingles.keep_one(docs, size=5, similar=0.8)
+    return simhash.keep_one(docs, size=5, similar=0.8)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
