@@ -2,15 +2,18 @@
 
 Three fixed kinds come from patterns. A fourth and fifth come from strings of
 one character class in which a window of fixed width reaches a Shannon entropy
-that prose doesn't: the window's counts are carried from character to
-character (one in, one out), so a string costs its length, and only the sum of
-n*log2(n) is adjusted. Strings on the allow list, and strings that a fixed
+that prose doesn't: the window's counts, packed into a few numbers, are carried
+from character to character (one in, one out), and only the sum of n*log2(n) is
+adjusted. Long strings are cut into overlapping chunks, and running places go
+by blocks, so a text costs its length, whatever it holds. Strings on the allow list, and strings that a fixed
 pattern already covers, give no span. Not looked at: strings under 24
 characters, and under CLASSES those of one case and digits that are no hex, and
 base64 with fewer than two digits (9 % of random strings of 24); WIDE has
 classes for both. DataFrame expressions only, one row at a
 time: no shuffle.
 
+A text of two megabytes takes seconds, be it one string or 100,000 secrets.
+
 Offsets are code points, ends exclusive. Defined results: a null text counts as
 empty and has no span; repeated rows are judged row by row; an empty table gives
 an empty result; extra columns never clash, as input columns travel in a struct.
@@ -19,6 +22,7 @@ an empty result; extra columns never clash, as input columns travel in a struct.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +33,8 @@ from .common import let
 ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 #: Kinds in the order in which they are listed for spans that start together.
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
-_SPANS = "array<struct<start:int,rank:int,stop:int>>"
+_SPAN = "struct<start:int,rank:int,stop:int>"
+_SPANS = f"array<{_SPAN}>"
 
 
 @dataclass(frozen=True)
@@ -70,44 +75,79 @@ def _pieces(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
+#: Spans up to which a text is cut by substring.
+FEW = 64
+#: Elements that a running value is carried over before its results are laid aside; characters of a string whose windows are looked at together.
+BLOCK, CHUNK = 64, 4_096
+
+
+def _scan(items: Column, zero: Column, step: Callable[[Column, Column], Column], out: str) -> Column:
+    """What ``step(state, item)``, a struct (state, out), gives out for each item in turn; the state is an int, ``out`` the type of what comes out.
+
+    Arrays only grow by copying, so the items go by blocks: once for the state at
+    the start of each, and once more for what each gives out.
+    """
+    typed = lambda kind: F.array().cast(f"array<{kind}>")
+
+    def outs(state: Column, block: Column) -> Column:
+        add = lambda acc, x: let(step(acc["state"], x), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["outs"], F.array(r["out"])).alias("outs")))
+        return F.aggregate(block, F.struct(state.alias("state"), typed(out).alias("outs")), add, lambda acc: acc["outs"])
+
+    def starts(blocks: Column) -> Column:
+        end = lambda state, block: F.aggregate(block, state, lambda s, x: step(s, x)["state"])
+        add = lambda acc, block: F.struct(end(acc["state"], block).alias("state"), F.concat(acc["starts"], F.array(acc["state"])).alias("starts"))
+        return F.aggregate(blocks, F.struct(zero.alias("state"), typed("int").alias("starts")), add, lambda acc: acc["starts"])
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda k: F.slice(items, k * BLOCK + 1, BLOCK))
+    each = let(blocks, lambda b: let(starts(b), lambda s: F.flatten(F.transform(b, lambda block, k: outs(s[k], block)))))
+    return F.when(F.size(items) > 0, each).otherwise(typed(out))
+
+
 def _spans(text: Column, pattern: str, rank: int, keep: Column | None = None) -> Column:
     """Spans of a pattern's matches; ``keep``: an array of booleans, one a match."""
     found, between = _pieces(text, pattern)
-    none = F.array().cast(_SPANS)
 
-    def place(m: Column, b: Column) -> Column:
-        step = lambda acc, i: let(
-            acc["at"] + F.length(b[i]),
-            lambda at: F.struct((at + F.length(m[i])).alias("at"), F.concat(acc["spans"], F.array(F.struct(at.alias("start"), F.lit(rank).alias("rank"), (at + F.length(m[i])).alias("stop"))).cast(_SPANS)).alias("spans")),
-        )
-        all_ = F.when(F.size(m) > 0, F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])).otherwise(none)
-        return all_
+    def step(at: Column, i: Column) -> Column:
+        span = lambda start: F.struct((start + i["long"]).alias("state"), F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + i["long"]).alias("stop")).alias("out"))
+        return let(at + i["gap"], span)
 
-    spans = let(found, lambda m: let(between, lambda b: place(m, b)))
+    lengths = let(between, lambda b: F.transform(found, lambda m, i: F.struct(F.length(b[i]).alias("gap"), F.length(m).alias("long"))))
+    spans = let(lengths, lambda x: _scan(x, F.lit(0), step, _SPAN))
     return spans if keep is None else let(keep, lambda k: F.filter(spans, lambda _, i: k[i]))
 
 
 def _window_entropy(s: Column, c: CharacterClass) -> Column:
     """The highest entropy of a window of ``c.width`` over a string of ``c.alphabet``, by incremental counts."""
     table = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(c.width + 2)])
-    size = len(c.alphabet)
-    ch = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.position(F.substring(s, i, F.lit(1)), F.lit(c.alphabet)) - F.lit(1))
+    bits = (c.width + 1).bit_length()
+    each = 63 // bits
+    shift = lambda how, value, by: F.call_function(how, value, by)
+    # of each character: which number holds its count, and where in it
+    at = F.transform(F.split(s, ""), lambda x: let(F.position(x, F.lit(c.alphabet)) - F.lit(1), lambda k: F.struct(k.alias("k"), F.floor(k / each).cast("int").alias("part"), ((k % each) * bits).alias("by"))))
 
     def slide(x: Column, f: Column) -> Column:
         def step(acc: Column, i: Column) -> Column:
-            enter, leave = x[i], F.when(i >= c.width, x[i - F.lit(c.width)]).otherwise(F.lit(-1))
-            count = lambda k: acc["n"][k]
-            minus = F.when(leave >= 0, f[count(leave) - F.lit(1)] - f[count(leave)]).otherwise(F.lit(0.0))
-            plus = f[count(enter) + F.lit(1)] - f[count(enter)]
-            total = F.when(enter == leave, acc["sum"]).otherwise(acc["sum"] + minus + plus)
-            counts = F.when(enter == leave, acc["n"]).otherwise(F.transform(acc["n"], lambda v, k: v + F.when(k == enter, 1).when(k == leave, -1).otherwise(0)))
-            best = F.when(i >= c.width - 1, F.greatest(acc["best"], F.lit(math.log2(c.width)) - total / F.lit(float(c.width)))).otherwise(acc["best"])
-            return F.struct(counts.alias("n"), total.alias("sum"), best.alias("best"))
-
-        start = F.struct(F.array_repeat(F.lit(0), size).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+            enter, leave = x[i], F.when(i >= c.width, x[i - F.lit(c.width)])
+            count = lambda e: shift("shiftright", acc["n"][e["part"]], e["by"]).bitwiseAND(F.lit((1 << bits) - 1).cast("long")).cast("int")
+            same = F.coalesce(enter["k"] == leave["k"], F.lit(False))
+            plus = let(count(enter), lambda n: f[n + F.lit(1)] - f[n])
+            minus = F.when(leave.isNotNull(), let(count(leave), lambda n: f[n - F.lit(1)] - f[n])).otherwise(F.lit(0.0))
+            unit = lambda e: shift("shiftleft", F.lit(1).cast("long"), e["by"])
+            counts = F.transform(acc["n"], lambda v, p: v + F.when(p == enter["part"], unit(enter)).otherwise(F.lit(0).cast("long")) - F.when(F.coalesce(p == leave["part"], F.lit(False)), unit(leave)).otherwise(F.lit(0).cast("long")))
+            total = F.when(same, acc["sum"]).otherwise(acc["sum"] + minus + plus)
+            grown = lambda t: F.struct(F.when(same, acc["n"]).otherwise(counts).alias("n"), t.alias("sum"), F.when(i >= c.width - 1, F.greatest(acc["best"], F.lit(math.log2(c.width)) - t / F.lit(float(c.width)))).otherwise(acc["best"]).alias("best"))
+            return let(total, grown)
+
+        start = F.struct(F.array_repeat(F.lit(0).cast("long"), -(-len(c.alphabet) // each)).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
         return F.aggregate(F.sequence(F.lit(0), F.size(x) - 1), start, step, lambda acc: acc["best"])
 
-    return let(ch, lambda x: let(table, lambda f: slide(x, f)))
+    return let(at, lambda x: let(table, lambda f: slide(x, f)))
+
+
+def _reaches(s: Column, c: CharacterClass) -> Column:
+    """Whether a window of a string reaches the class's entropy, chunk by chunk up to the first that does."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.length(s) - c.width) / CHUNK).cast("int")), lambda k: F.substring(s, k * CHUNK + 1, F.lit(CHUNK + c.width - 1)))
+    return F.exists(chunks, lambda x: _window_entropy(x, c) >= c.bits)
 
 
 def _entropy_spans(text: Column, c: CharacterClass, allowed: tuple[str, ...]) -> Column:
@@ -120,7 +160,7 @@ def _entropy_spans(text: Column, c: CharacterClass, allowed: tuple[str, ...]) ->
             needed = needed & s.rlike(need)
         for allow in allowed:
             needed = needed & ~s.rlike(allow)
-        return F.when(needed, _window_entropy(s, c) >= c.bits).otherwise(False)
+        return F.when(needed, _reaches(s, c)).otherwise(False)
 
     return F.when(text.rlike(run), _spans(text, run, _RANKS.index(c.kind), F.transform(found, flagged))).otherwise(F.array().cast(_SPANS))
 
@@ -135,8 +175,18 @@ def scan(docs: DataFrame, text: str = "text", classes: tuple[CharacterClass, ...
         F.when(t.rlike("[0-9a-f]{24}"), _spans(t, "[0-9a-f]{24,}", 2)).otherwise(none),
     )
     found = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body")).select("row", "body", fixed.alias("fixed"), F.concat(*[_entropy_spans(t, c, allowed) for c in classes]).alias("more"))
-    apart = lambda x: ~F.exists("fixed", lambda y: (x["start"] < y["stop"]) & (y["start"] < x["stop"]))
-    return found.select("row", "body", F.array_sort(F.concat("fixed", F.filter("more", apart))).alias("spans"))
+    return found.select("row", "body", F.when(F.size("more") == 0, F.array_sort("fixed")).otherwise(_apart(F.array_sort(F.concat("fixed", "more")))).alias("spans"))
+
+
+def _apart(spans: Column) -> Column:
+    """Sorted spans without those of no fixed kind that a fixed one overlaps: one pass for the fixed ones behind, one for those ahead."""
+    fixed = lambda x: x["rank"] < 3
+    behind = lambda far, x: F.struct(F.when(fixed(x), F.greatest(far, x["stop"])).otherwise(far).alias("state"), F.struct(x.alias("x"), far.alias("far")).alias("out"))
+    ahead = lambda near, y: F.struct(F.when(fixed(y["x"]), y["x"]["start"]).otherwise(near).alias("state"), F.struct(y["x"].alias("x"), y["far"].alias("far"), near.alias("near")).alias("out"))
+    first = let(spans, lambda s: _scan(s, F.lit(0), behind, f"struct<x:{_SPAN},far:int>"))
+    both = let(F.reverse(first), lambda s: _scan(s, F.lit((1 << 31) - 1), ahead, f"struct<x:{_SPAN},far:int,near:int>"))
+    free = F.filter(both, lambda y: fixed(y["x"]) | ((y["far"] <= y["x"]["start"]) & (y["x"]["stop"] <= y["near"])))
+    return F.reverse(F.transform(free, lambda y: y["x"]))
 
 
 def listing(spans: Column, kinds: int = len(KINDS)) -> Column:
@@ -149,14 +199,14 @@ def listing(spans: Column, kinds: int = len(KINDS)) -> Column:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", classes: tuple[CharacterClass, ...] = CLASSES) -> DataFrame:
     """``docs`` with every secret span of its text replaced by ``mark``; overlapping spans by one mark. Rows without one, nulls included, stay as they are."""
     t = F.col("body")
-    # each step appends what lies between the last span and this one
-    step = lambda acc, x: F.when(
-        x["stop"] > acc["at"],
-        F.struct(
-            F.concat(acc["out"], F.when((x["start"] >= acc["at"]), F.concat(F.substring(t, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise("")).alias("out"),
-            x["stop"].alias("at"),
-        ),
-    ).otherwise(acc)
-    clean = F.aggregate("spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
+    # what lies between the last span and this one, and the mark, unless the spans overlap
+    cut = lambda at, x: F.struct(F.greatest(at, x["stop"]).alias("state"), F.struct(at.alias("at"), F.greatest(x["start"] - at, F.lit(0)).alias("long"), F.when(x["start"] >= at, F.lit(mark)).otherwise("").alias("mark")).alias("out"))
+    gaps = _scan(F.col("spans"), F.lit(0), cut, "struct<at:int,long:int,mark:string>")
+    last = F.array_max(F.transform("spans", lambda x: x["stop"]))
+    few = let(gaps, lambda g: F.concat(F.array_join(F.transform(g, lambda x: F.concat(F.substring(t, x["at"] + 1, x["long"]), x["mark"])), ""), F.substring(t, last + 1, F.length(t))))
+    # a piece of a text is found by counting characters from its beginning: many pieces are cut from the characters themselves
+    chars = F.split(t, "")
+    many = let(gaps, lambda g: let(chars, lambda c: F.concat(F.array_join(F.transform(g, lambda x: F.concat(F.array_join(F.slice(c, x["at"] + 1, x["long"]), ""), x["mark"])), ""), F.array_join(F.slice(c, last + 1, F.size(c)), ""))))
+    clean = F.when(F.size("spans") <= FEW, few).otherwise(many)
     columns = [F.when(F.size("spans") > 0, clean).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return scan(docs, text, classes).select(*columns)

@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import random
 import re
+import string
+import time
 
 from fixtures import odd_frame, with_clashes
 
@@ -155,3 +158,25 @@ def test_urls_match_brute_force(spark, sf):
         assert sorted((str(r["page_id"]), r["host"], r["path"], str(r["rule"]), r["verdict"]) for r in got.collect()) == urls
     none = url_filter.judge(fixture, url_filter.rule_table(spark, []))
     assert none.count() == fixture.count() and none.where("rule is not null").count() == 0
+
+
+def seconds(work):
+    began = time.perf_counter()
+    found = work()
+    return found, time.perf_counter() - began
+
+
+def test_two_megabytes_take_seconds(spark):
+    rng = random.Random(3)
+    run = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=2_000_000))
+    dull = "Aa1b" * 4 + "aaaa1AAA" * 250_000  # a long string that no window flags
+    many = " ".join(f"token={rng.getrandbits(64):016x}{i:08x} é" for i in range(50_000)) + " ".join(f" {rng.getrandbits(128):032x}" for _ in range(50_000))
+    docs = spark.createDataFrame([(1, run), (2, dull), (3, many)], "doc_id long, text string").repartition(1)
+    secrets.scan(odd_frame(spark)).collect()
+    for i, want in ((1, 1), (2, 0), (3, 150_000)):  # a token's value is hex as well
+        one = docs.where(f"doc_id = {i}")
+        found, took = seconds(lambda: secrets.scan(one).select("spans").first()["spans"])
+        assert len(found) == want and took < 15, (i, len(found), took)
+        clean, took = seconds(lambda: secrets.redact(one).first()["text"])
+        assert took < 20, (i, took)
+        assert clean == {1: "[SECRET]", 2: dull, 3: re.sub(r"(?:token=)?[0-9a-f]{24,}", "[SECRET]", many)}[i]
