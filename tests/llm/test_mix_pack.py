@@ -25,7 +25,9 @@ def test_budgets_are_met():
         got = sum(s * k for s, k in zip(sizes, take))
         assert all(0 <= k <= c for k, c in zip(take, counts)) and got <= max(0, budget)
         # as near as any choice of the documents that rounding left
-        base = [c * budget // max(1, sum(s * c for s, c in zip(sizes, counts))) for c in counts] if budget < sum(s * c for s, c in zip(sizes, counts)) else take
+        longest = max([0, *(s for s, c in zip(sizes, counts) if c)])
+        base = mixing.shares(sizes, counts, max(0, budget - longest)) if 0 < budget < sum(s * c for s, c in zip(sizes, counts)) else take
+        assert budget >= sum(s * c for s, c in zip(sizes, counts)) or budget - sum(s * k for s, k in zip(sizes, base)) <= 2 * longest
         sums = {sum(s * k for s, k in zip(sizes, base))}
         for s, c, k in zip(sizes, counts, base):
             sums = {x + j * s for x in sums for j in range(c - k + 1) if x + j * s <= budget}
@@ -43,6 +45,28 @@ def test_large_budgets_are_met():
         assert sum(s * k for s, k in zip(sizes, take)) == int(total * part)
 
 
+def test_long_documents_keep_memory_small():
+    sizes = list(range(1, 20_000)) + [3_000_000]
+    take = mixing.fit_budget(sizes, [2] * len(sizes), 123_456_789)
+    assert sum(s * k for s, k in zip(sizes, take)) == 123_456_789
+
+
+def taken_rows(docs):
+    return sorted(str((r["row"].asDict(), r["copies"])) for r in mixing.mix(docs).collect())
+
+
+def test_the_order_of_rows_never_matters(spark):
+    rows = [(None if i % 2 else i // 4, f"{'a' if i % 3 else 'b'} {i} w", "s" if i % 5 else None) for i in range(120)]
+    rows += [(7, "same words here", "s")] * 30 + [(None, "no id at all", "s")] * 31 + [(None, None, "t")] * 3
+    schema, rng = "doc_id long, text string, source string", random.Random(2)
+    first = taken_rows(spark.createDataFrame(rows, schema))
+    for _ in range(2):
+        rng.shuffle(rows)
+        assert taken_rows(spark.createDataFrame(rows, schema).repartition(5)) == first
+    copies = [r["copies"] for r in mixing.mix(spark.createDataFrame(rows, schema)).where("row.doc_id = 7").collect()]
+    assert len(copies) > 30 and len(set(copies)) == 2  # a quota ends among equal rows
+
+
 def plain_targets(sizes, share=1.5, most=2):
     names = sorted((x for x in sizes if x is not None), key=lambda x: x.encode()) + [None] * (None in sizes)
     weight = {x: (3, 1, 2)[i % 3] for i, x in enumerate(names)}
