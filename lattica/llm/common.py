@@ -125,10 +125,15 @@ def first_rows(docs: DataFrame, grouped: DataFrame, stages: StageTables, id_col:
 
 
 _shipped: set[str] = set()
+#: Bytes of an Arrow batch, about: rows of very long texts or many hashes come fewer at a time.
+_BATCH, _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once per application: they need not have it installed."""
+    """Make a session ready for Python tasks: batches bounded in bytes, and this package sent to the executors once per application, as they need not have it installed."""
+    if not spark.conf.get("lattica.batch.bytes", None):
+        spark.conf.set(_BATCH, str(_BYTES))
+        spark.conf.set("lattica.batch.bytes", str(_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

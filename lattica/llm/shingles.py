@@ -5,7 +5,8 @@ in a row (64-bit hashes) is ``least`` or more. Prefix filtering loses no such
 pair: with every set in one fixed order, similar sets share an element among
 their first n - ceil(least * n) + 1, so each set goes to a cell for each of
 those; sizes and places left rule out most pairs of a cell, and the rest are
-settled on the whole sets. The order puts shingles that a sample finds in many
+first held against the sets' counts by segment, whose Manhattan distance is a
+lower bound, and then settled on the whole sets. The order puts shingles that a sample finds in many
 documents last, so that boilerplate makes no cells; any order gives the same
 links. Sets are made from the texts where they are needed and never stored,
 but for those in question.
@@ -29,9 +30,14 @@ from .common import StageTables, partitions
 from .components import whole_groups
 
 #: The order is learnt from a hundredth of the documents, or from so many if that is more; a shingle counts as frequent from OFTEN on, MOST of them at most.
-SAMPLE, OFTEN, MOST, CHUNK = 20_000, 3, 100_000, 1 << 20
+SAMPLE, OFTEN, MOST, CHUNK = 20_000, 3, 100_000, 1 << 16
 #: Rows that a task remembers, to read equal rows once.
 SEEN = 1_000_000
+#: Least hashes of a set under LEASTS orders; those that CROWD sets or more share mark a crowd. ROUNDS of hubs at most, as long as one finds a USEFUL-th of what the first found; prefix filtering finds what they leave.
+LEASTS, CROWD, ROUNDS, USEFUL = 8, 16, 8, 10
+#: Segments in which a set's hashes are counted.
+SEGMENTS = 128
+_ORDERS = np.random.default_rng(20_240_601).integers(0, 1 << 63, LEASTS, np.int64) | 1
 
 
 def shingles(text: bytes, size: int) -> np.ndarray:
@@ -47,6 +53,34 @@ def name(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def counts(s: np.ndarray) -> bytes:
+    """How many hashes fall in each segment, up to 255: the Manhattan distance of two such vectors never exceeds the number of elements that only one of the sets has."""
+    return np.minimum(np.bincount(s & (SEGMENTS - 1), minlength=SEGMENTS), 255).astype(np.uint8).tobytes()
+
+
+def coarse(s: np.ndarray) -> bytes:
+    """Counts by half as many segments, modulo 16, two a byte: distances around the circle are lower bounds as well."""
+    c = np.bincount(s & (SEGMENTS // 2 - 1), minlength=SEGMENTS // 2) & 15
+    return (c[::2] | c[1::2] << 4).astype(np.uint8).tobytes()
+
+
+def least_hashes(s: np.ndarray) -> np.ndarray:
+    """The least hash of a set under each of LEASTS orders; a random element of it, and one that similar sets mostly share."""
+    return np.array([(s * f).min() for f in _ORDERS]) if len(s) else np.empty(0, np.int64)
+
+
+def hub_pairs(crowds: DataFrame, joined: DataFrame | None, turn: int, least: Fraction) -> DataFrame:
+    """In each crowd one set as a hub, another one every turn, in a pair (a, b) with each member that isn't of its group and that counts don't rule out: pairs in proportion to members.
+
+    ``crowds``: (j, least, key, n, counts); ``joined``: (node, component) of the sets that are joined up so far.
+    """
+    own = ["j", "least", "key", "n", "counts"]
+    members = crowds.withColumn("group", F.col("key")) if joined is None else crowds.join(joined, F.col("key") == F.col("node"), "left").select(*own, F.coalesce("component", "key").alias("group"))
+    hub = members.groupBy("j", "least").agg(F.min_by(F.struct("key", "n", "counts", "group"), F.xxhash64(F.lit(turn), "j", "key")).alias("hub"))
+    both = members.join(hub, ["j", "least"]).where("group <> hub.group").select(F.col("hub.key").alias("a"), F.col("key").alias("b"), (F.col("n") + F.col("hub.n")).cast("long").alias("n"), F.col("hub.counts").alias("c_a"), F.col("counts").alias("c_b"))
+    return both.mapInArrow(lambda it: _plausible(it, least), "a binary, b binary").distinct()
+
+
 def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that a sample of documents repeats, ascending, and their counts."""
 
@@ -69,16 +103,20 @@ def candidates(texts: DataFrame, known: DataFrame, size: int, least: Fraction) -
     p, q = least.numerator, least.denominator
     often, count = _frequent(texts, size)
 
-    def ordered(s: np.ndarray) -> np.ndarray:
+    def ordered(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A set in the common order, and which of it are frequent."""
         if not len(often):
-            return s
+            return s, np.zeros(len(s), bool)
         at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-        return s[np.argsort(np.where(often[at] == s, count[at], 0), kind="stable")]
+        times = np.where(often[at] == s, count[at], 0)
+        by = np.argsort(times, kind="stable")
+        return s[by], times[by] > 0
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``counts`` only go along with frequent shingles, whose cells are large."""
         seen: set[int] = set()
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for row, t, group in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if row in seen:
                     continue
@@ -87,18 +125,24 @@ def candidates(texts: DataFrame, known: DataFrame, size: int, least: Fraction) -
                 s = shingles(t or b"", size)
                 n = len(s)
                 m = n + (-p * n // q) + 1 if n else 0
-                for column, value in zip(out, (ordered(s)[:m], np.full(m, n), n - np.arange(m)), strict=False):
+                tokens, frequent = ordered(s)
+                for column, value in zip(out, (tokens[:m], np.full(m, n), n - np.arange(m)), strict=False):
                     column.append(value)
-                key = name(s)
-                out[3] += [key] * m
-                out[4] += [group or key] * m
+                some = coarse(s) if frequent[:m].any() else None
+                out[3] += [name(s)] * m
+                out[4] += [group] * m
+                out[5] += [some if f else None for f in frequent[:m].tolist()]
             none = [np.empty(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x + none).astype(k)) for x, k in zip(out[:3], (np.int64, np.int32, np.int32), strict=True)), *(pa.array(x, pa.binary()) for x in out[3:])], ["token", "n", "rest", "key", "group"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x + none).astype(k)) for x, k in zip(out[:3], (np.int64, np.int32, np.int32), strict=True)), *(pa.array(x, pa.binary()) for x in out[3:])], ["token", "n", "rest", "key", "group", "counts"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(some: set) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*some, strict=True)], ["a", "b"])
+
         for t, at in whole_groups(batches, ["token"]):
             n, rest = (t.column(c).to_numpy().astype(np.int64) for c in ("n", "rest"))
-            key, group = (t.column(c).to_pylist() for c in ("key", "group"))
+            key, group, coarsely = (t.column(c).to_pylist() for c in ("key", "group", "counts"))
+            group = [g or k for g, k in zip(group, key, strict=True)]
             some: set[tuple[bytes, bytes]] = set()
 
             def able(i, j, n=n, rest=rest):
@@ -116,33 +160,61 @@ def candidates(texts: DataFrame, known: DataFrame, size: int, least: Fraction) -
             for s, m in zip(at[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 if len(set(group[s : s + m])) == 1:
                     continue
+                crowded = coarsely[s] is not None
+                if crowded:
+                    x = np.frombuffer(b"".join(coarsely[s : s + m]), np.uint8).reshape(m, -1)
+                    x = np.concatenate([x & 15, x >> 4], axis=1).astype(np.int8)
                 last = s + np.searchsorted(n[s : s + m], q * n[s : s + m] // p, "right")  # rows of a cell come by size
                 for i in range(s, s + m - 1):
                     j = np.arange(i + 1, last[i - s])
-                    for k in j[able(i, j)].tolist():
+                    j = j[able(i, j)]
+                    if crowded and len(j):
+                        far = (x[j - s] - x[i - s]) & 15
+                        j = j[(p + q) * np.minimum(far, 16 - far).sum(axis=1, dtype=np.int64) <= (q - p) * (n[i] + n[j])]
+                    for k in j.tolist():
                         add(i, k)
                     if len(some) > CHUNK:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*some, strict=True)], ["a", "b"])
+                        yield out(some)
                         some.clear()
             if some:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*some, strict=True)], ["a", "b"])
+                yield out(some)
 
     # by its columns' names, for ``known`` may be large or small: where it is small no text is moved
     rows = texts.join(known.withColumn("known", F.lit(True)), "row", "left").where("known is null or group is not null").select("row", "text", "group")
-    cells = rows.mapInArrow(prefixes, "token long, n int, rest int, key binary, group binary")
+    cells = rows.mapInArrow(prefixes, "token long, n int, rest int, key binary, group binary, counts binary")
     return cells.repartition(partitions(texts.sparkSession), "token").sortWithinPartitions("token", "n").mapInArrow(pairs, "a binary, b binary").distinct()
 
 
 def _similar(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
     p, q = least.numerator, least.denominator
+
+    def near(x: pa.Scalar, y: pa.Scalar) -> bool:
+        u, v = (np.frombuffer(h.as_buffer(), np.int64) for h in (x, y))  # views: a batch is not copied
+        return (p + q) * len(np.intersect1d(u, v, assume_unique=True)) >= p * (len(u) + len(v))
+
     for b in batches:
-        x, y = ([np.frombuffer(h, np.int64) for h in b.column(k).to_pylist()] for k in (2, 3))
-        keep = [(p + q) * len(np.intersect1d(u, v, assume_unique=True)) >= p * (len(u) + len(v)) for u, v in zip(x, y, strict=True)]
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in (b.column(0), b.column(1))], ["a", "b"])
+        keep = pa.array([near(x, y) for x, y in zip(b.column(2), b.column(3), strict=True)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
+
+
+def _plausible(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, n, counts of a, counts of b), n being both sizes' sum, whose counts are not too far apart."""
+    p, q = least.numerator, least.denominator
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, SEGMENTS).astype(np.int16) for k in (3, 4))
+        keep = pa.array((p + q) * np.abs(x - y).sum(axis=1, dtype=np.int64) <= (q - p) * b.column(2).to_numpy())
+        yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
+
+
+def plausible(pairs: DataFrame, keys: DataFrame, least: Fraction) -> DataFrame:
+    """Those of ``pairs`` (a, b: set names) that their segment counts don't rule out. ``keys``: (key, n, counts), a row for each set."""
+    of = lambda k: keys.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("counts").alias(f"c_{k}"))
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", (F.col("n_a") + F.col("n_b")).cast("long").alias("n"), "c_a", "c_b")
+    return both.mapInArrow(lambda it: _plausible(it, least), "a binary, b binary")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, keys: DataFrame, stages: StageTables, size: int, least: Fraction) -> DataFrame:
-    """Those of ``pairs`` (a, b: set names) that are similar. ``keys``: (key, row), a row for each set."""
+    """Those of ``pairs`` (a, b: set names) that are similar, written. ``keys``: (key, row), a row for each set; ``texts``: (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -154,12 +226,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, keys: DataFrame, stages: Stage
                     out[key] = shingles(t or b"", size).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["key", "hashes"])
 
-    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    left = stages.put(pairs)
+    ends = left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
     rows = stages.put(keys.select("key", "row").join(ends, "key", "left_semi"))
     members = stages.put(texts.join(rows, "row").select("key", "text").mapInArrow(run, "key binary, hashes binary"))
     if members.count() > rows.count():  # rows that are the same in every column
         members = stages.put(members.groupBy("key").agg(F.first("hashes").alias("hashes")))
-    side = lambda k, v: members.select(F.col("key").alias(k), F.col("hashes").alias(v))
+    side = lambda k, v: members.select(F.col("key").alias(k), F.col("hashes").alias(v)).hint("merge")  # noqa: E731  sets are of no bounded size
     # a, which many pairs may share, comes last: its set is then not moved along with each pair
-    both = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")
-    return both.mapInArrow(lambda it: _similar(it, least), "a binary, b binary")
+    both = left.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")
+    found = stages.put(both.mapInArrow(lambda it: _similar(it, least), "a binary, b binary"))
+    stages.drop(left, rows, members)
+    return found

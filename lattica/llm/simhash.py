@@ -13,11 +13,12 @@ cell gives a spanning forest and not its pairs.
 
 ``similar`` asks for more than bits can tell: texts link if their sets of
 ``size`` words in a row have that Jaccard similarity or more. Fingerprints
-within ``bits`` then only propose links, which are confirmed on the whole sets;
-that joins up large groups of near copies without their pairs. Similar texts
-whose fingerprints are farther apart (at 0.8 the bits differ by some 9 of 64, a
-distance at which no grid is selective) are found by prefix filtering among
-what is still apart: see ``shingles``. No link is lost.
+within ``bits`` then only propose links, which are confirmed on the whole sets.
+Similar texts whose fingerprints are farther apart (at 0.8 the bits differ by
+some 9 of 64, a distance at which no grid is selective) are found by prefix
+filtering among what is still apart: see ``shingles``. Between the two, crowds
+of near copies are joined up over hubs, so that their pairs needn't be made. No
+link is lost.
 
 Defined results: an empty or null text, or one without words, has fingerprint 0
 and links like any other (under ``similar``: with the others of its kind); a
@@ -164,11 +165,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows (id, row, text) as (id, row, key, fp): the set's name and its fingerprint."""
+    """Rows (id, row, text) as (id, row, key, fp, n, counts, leasts): the set's name, fingerprint, size, counts by segment and least hashes."""
     for b in batches:
         found = [shingles.shingles(t or b"", size) for t in b.column(2).cast(pa.binary()).to_pylist()]
         fps = np.array([majority(s.view(np.uint8).reshape(-1, 8)) if len(s) else 0 for s in found], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([shingles.name(s) for s in found], pa.binary()), pa.array(fps)], ["id", "row", "key", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([shingles.name(s) for s in found], pa.binary()), pa.array(fps), pa.array(list(map(len, found)), pa.int32()), pa.array(list(map(shingles.counts, found)), pa.binary()), pa.array([shingles.least_hashes(s) for s in found], pa.list_(pa.int64()))], ["id", "row", "key", "fp", "n", "counts", "leasts"])
 
 
 def similar_groups(docs: DataFrame, stages: StageTables, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similar: float = 0.8, bits: int = BITS) -> DataFrame:
@@ -178,22 +179,38 @@ def similar_groups(docs: DataFrame, stages: StageTables, id_col: str = "doc_id",
     ship(docs.sparkSession)
     least = Fraction(str(similar))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), row_hash(docs).alias("row"), F.col(text_col).alias("text"))
-    marks = stages.put(rows.mapInArrow(lambda it: _sets(it, size), "id long, row long, key binary, fp long"))
-    keys = stages.put(marks.groupBy("key").agg(F.min("row").alias("row"), F.min("fp").alias("fp")))
+    marks = stages.put(rows.mapInArrow(lambda it: _sets(it, size), "id long, row long, key binary, fp long, n int, counts binary, leasts array<long>"))
+    first = marks.groupBy("key").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in ("fp", "n", "counts", "leasts")])
+    keys = stages.put(first)
     heads = stages.put(keys.groupBy("fp").agg(F.min("key").alias("head")))
     # proposed by fingerprints: each set with one of its own fingerprint, and such ones of near fingerprints
     of = lambda name: heads.select(F.col("fp").alias(name), F.col("head").alias(f"head_{name}"))
     near = near_links(heads.select("fp"), bits).distinct().join(of("a"), "a").join(of("b"), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
     proposed = stages.put(keys.join(heads, "fp").where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")).unionByName(near))
     texts = rows.select("row", "text")
-    sure = stages.put(shingles.confirmed(proposed, texts, keys, stages, size, least))
+    # crowds of near copies: each hub stands for many pairs
+    each = keys.select("key", "n", "counts", F.posexplode("leasts").alias("j", "least"))
+    crowded = each.groupBy("j", "least").agg(F.count("*").alias("sets")).where(F.col("sets") >= shingles.CROWD).select("j", "least")
+    crowds = stages.put(each.join(crowded, ["j", "least"]))
+    sure, joined, at_first = None, None, 0
+    for turn in range(shingles.ROUNDS):
+        tried = shingles.hub_pairs(crowds, joined, turn, least)
+        links = shingles.confirmed(tried if turn else tried.unionByName(shingles.plausible(proposed, keys, least)).distinct(), texts, keys, stages, size, least)
+        found = links.count()
+        at_first = at_first or found
+        if found or sure is None:
+            before, sure = (sure, joined), links if sure is None else stages.put(sure.unionByName(links))
+            joined = stages.put(components(sure, stages))
+            stages.drop(*before)
+        if found * shingles.USEFUL <= at_first:
+            break
     stages.drop(proposed, heads)
-    joined = components(sure, stages)
     # found by prefix filtering: pairs that are still apart
     copies = marks.select("row", "key").distinct().join(keys.select("key", F.col("row").alias("rep")), "key").where("row <> rep").select("row", F.lit(None).cast("binary").alias("group"))
     known = stages.put(copies.unionByName(keys.join(joined, F.col("key") == F.col("node")).select("row", F.col("component").alias("group"))))
     apart = stages.put(shingles.candidates(texts, known, size, least))
-    more = shingles.confirmed(apart, texts, keys, stages, size, least)
+    stages.drop(crowds)
+    more = shingles.confirmed(shingles.plausible(apart, keys, least), texts, keys, stages, size, least)
     group = components(sure.unionByName(more), stages)
     return marks.select("id", "row", "key").join(group, F.col("key") == F.col("node"), "left").select("id", "row", F.coalesce("component", "key").alias("group"))
 
