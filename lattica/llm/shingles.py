@@ -35,8 +35,8 @@ SAMPLE, OFTEN, MOST, CHUNK = 20_000, 3, 100_000, 1 << 16
 SEEN = 1_000_000
 #: Least hashes of a set under LEASTS orders; those that CROWD sets or more share mark a crowd. ROUNDS of hubs at most, as long as one finds a USEFUL-th of what the first found; prefix filtering finds what they leave.
 LEASTS, CROWD, ROUNDS, USEFUL = 8, 16, 8, 10
-#: Segments in which a set's hashes are counted.
-SEGMENTS = 128
+#: Segments in which a set's hashes are counted: a power of two, at least so many and at most so many, some four hashes each between.
+SEGMENTS, MOST_SEGMENTS = 128, 4_096
 _ORDERS = np.random.default_rng(20_240_601).integers(0, 1 << 63, LEASTS, np.int64) | 1
 
 
@@ -55,7 +55,8 @@ def name(s: np.ndarray) -> bytes:
 
 def counts(s: np.ndarray) -> bytes:
     """How many hashes fall in each segment, up to 255: the Manhattan distance of two such vectors never exceeds the number of elements that only one of the sets has."""
-    return np.minimum(np.bincount(s & (SEGMENTS - 1), minlength=SEGMENTS), 255).astype(np.uint8).tobytes()
+    m = min(MOST_SEGMENTS, max(SEGMENTS, 1 << (len(s) // 3).bit_length() - 1 if len(s) > 2 else 1))
+    return np.minimum(np.bincount(s & (m - 1), minlength=m), 255).astype(np.uint8).tobytes()
 
 
 def coarse(s: np.ndarray) -> bytes:
@@ -197,12 +198,26 @@ def _similar(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
 
 
+def _distance(x: bytes, y: bytes) -> int:
+    u, v = (np.frombuffer(c, np.uint8).astype(np.int64) for c in (x, y))
+    m = min(len(u), len(v))  # the vector of more segments is folded, and cut off where the other one was
+    u, v = (np.minimum(c.reshape(-1, m).sum(axis=0), 255) for c in (u, v))
+    return int(np.abs(u - v).sum())
+
+
 def _plausible(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
     """Rows (a, b, n, counts of a, counts of b), n being both sizes' sum, whose counts are not too far apart."""
     p, q = least.numerator, least.denominator
     for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, SEGMENTS).astype(np.int16) for k in (3, 4))
-        keep = pa.array((p + q) * np.abs(x - y).sum(axis=1, dtype=np.int64) <= (q - p) * b.column(2).to_numpy())
+        x, y = (b.column(k).to_pylist() for k in (3, 4))
+        far = np.zeros(b.num_rows, np.int64)
+        short = np.array([len(u) == len(v) == SEGMENTS for u, v in zip(x, y, strict=True)], bool)
+        some = np.flatnonzero(short)
+        u, v = (np.frombuffer(b"".join([z[i] for i in some]), np.uint8).reshape(-1, SEGMENTS).astype(np.int16) for z in (x, y))
+        far[some] = np.abs(u - v).sum(axis=1, dtype=np.int64)
+        for i in np.flatnonzero(~short):
+            far[i] = _distance(x[i], y[i])
+        keep = pa.array((p + q) * far <= (q - p) * b.column(2).to_numpy())
         yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
 
 

@@ -189,9 +189,10 @@ def similar_groups(docs: DataFrame, stages: StageTables, id_col: str = "doc_id",
     proposed = stages.put(keys.join(heads, "fp").where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")).unionByName(near))
     texts = rows.select("row", "text")
     # crowds of near copies: each hub stands for many pairs
-    each = keys.select("key", "n", "counts", F.posexplode("leasts").alias("j", "least"))
+    each = stages.put(keys.select("key", F.posexplode("leasts").alias("j", "least")))
     crowded = each.groupBy("j", "least").agg(F.count("*").alias("sets")).where(F.col("sets") >= shingles.CROWD).select("j", "least")
-    crowds = stages.put(each.join(crowded, ["j", "least"]))
+    crowds = stages.put(each.join(crowded, ["j", "least"]).join(keys.select("key", "n", "counts"), "key"))
+    stages.drop(each)
     sure, joined, at_first = None, None, 0
     for turn in range(shingles.ROUNDS):
         tried = shingles.hub_pairs(crowds, joined, turn, least)

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from fixtures import DOC_SCHEMA, PROSE, odd_frame, with_clashes
 from test_dedup import roots
 
@@ -106,3 +107,16 @@ def test_a_large_group_of_near_copies(spark):
             text[rng.randrange(300)] = f"x{i}"
         rows.append((i, " ".join(text), "en", "s", 0))
     assert [r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, DOC_SCHEMA)).collect()] == [0]
+
+
+def test_counts_are_a_lower_bound():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(1, 20_000))
+        x = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        y = np.unique(np.append(x[rng.random(len(x)) < rng.random()], rng.integers(-(1 << 62), 1 << 62, int(rng.integers(0, n + 1)))))
+        far = len(np.setxor1d(x, y))
+        assert shingles._distance(shingles.counts(x), shingles.counts(y)) <= far
+        c, d = (np.frombuffer(shingles.coarse(s), np.uint8) for s in (x, y))
+        away = [(u - v) & 15 for u, v in ((c & 15, d & 15), (c >> 4, d >> 4))]
+        assert sum(np.minimum(w, 16 - w).sum() for w in away) <= far
