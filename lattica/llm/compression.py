@@ -7,6 +7,10 @@ leaves shows repetition that either dictionary hides. Logistic regression on
 labelled texts that the dictionaries didn't see turns the sizes into the
 probability of label 1.
 
+On held-out rows (sf0.1, n 825) the difference alone has an AUC of 0.964, its
+four terms 0.983, plain ratio and length without any dictionary 0.947, all
+together 0.999.
+
 Fitting is bounded: ``PIECES`` pieces of ``PIECE`` bytes a class for the
 dictionaries, ``CALIBRATION`` texts a class for the scale, chosen by seeded hash
 from all labelled rows. Scoring streams every whole text through three
@@ -14,7 +18,8 @@ compressors that each task makes once.
 
 Defined results: a null text counts as empty and is scored like one; repeated
 rows are scored each; without labelled rows of both classes every score is the
-share of label 1, or 0.5 if there is none; an empty table gives an empty
+share of label 1, or 0.5 if there is none; a document with both labels counts
+for both; an empty table gives an empty
 result; extra columns are not read.
 """
 

@@ -46,8 +46,13 @@ def word_features(word: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(x.encode()) % SPACE for x in ("=" + word, *("^" + word[:k] for k in BEGINNINGS if len(word) > k)))
 
 
-def text_features(text: str) -> np.ndarray:
-    return np.unique(np.fromiter((f for w in set(text.split()) for f in word_features(w)), np.int32))
+def words(text: bytes) -> set[bytes]:
+    """A text's words, for fitting and scoring alike: cut at ASCII white space only."""
+    return set(text.split())
+
+
+def text_features(text: bytes) -> np.ndarray:
+    return np.unique(np.fromiter((f for w in words(text) for f in word_features(w.decode())), np.int32))
 
 
 def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +110,7 @@ class Model:
                 for t in b.column(1).cast(pa.binary()).to_pylist():
                     if len(known) > REMEMBERED:
                         known.clear()
-                    hit = {f for w in set((t or b"").split()) for f in (known[w] if w in known else of(w))}
+                    hit = {f for w in words(t or b"") for f in (known[w] if w in known else of(w))}
                     total.append(self.bias + sum(weights[f] for f in sorted(hit)))
                     n.append(len(hit))
                 score = 1 / (1 + np.exp(-np.clip(np.array(total, float), -30, 30)))
@@ -126,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, prior: float | None =
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([text_features(t or "") for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], ["f"])
+            yield pa.RecordBatch.from_arrays([pa.array([text_features(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()], pa.list_(pa.int32()))], ["f"])
 
     def collect(ids: DataFrame) -> list[np.ndarray]:
         rows = texts_of(docs, ids).mapInArrow(features, "f array<int>").toArrow().column("f")

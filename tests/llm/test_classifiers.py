@@ -66,3 +66,48 @@ def test_negative_risk_is_turned():
     other = [np.array([1, *rng.choice(np.arange(2, 20), 3, replace=False)]) for _ in range(200)] + toxic[:10]
     w, b = toxicity.fit_nonnegative(toxic, other, 0.6, 20)
     assert np.isfinite(w).all() and np.isfinite(b) and w[0] > w[1]
+
+
+def plain_toxicity(model, text):
+    """Word by word, straight from the definition."""
+    hit = set()
+    for w in (text or "").encode().split():
+        word = w.decode().lower().strip(toxicity._EDGES)
+        for x in ["=" + word] * bool(word) + ["^" + word[:k] for k in toxicity.BEGINNINGS if len(word) > k]:
+            hit.add(zlib.crc32(x.encode()) % toxicity.SPACE)
+    return 1 / (1 + np.exp(-(model.bias + sum(model.weights.get(f, 0.0) for f in hit))))
+
+
+def test_toxicity_matches_a_plain_scorer(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id as id", "text").unionByName(spark.createDataFrame([(-1, "nul\u00a0bad\u3000word \x1f x"), (-2, None)], "id long, text string"))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").selectExpr("doc_id as id", "toxic as label")
+    model = toxicity.fit(docs, labels, queries.F.lit(True))
+    assert model.weights
+    texts = {r["id"]: r["text"] for r in docs.collect()}
+    for r in model.score(docs).collect():
+        assert r["score"] == pytest.approx(plain_toxicity(model, texts[r["id"]]))
+
+
+def test_fitting_and_scoring_cut_words_alike():
+    text = "one\u00a0two three\u3000four five"
+    of = {f for w in toxicity.words(text.encode()) for f in toxicity.word_features(w.decode())}
+    assert set(toxicity.text_features(text.encode()).tolist()) == of and len(toxicity.words(text.encode())) == 3
+
+
+def test_quality_matches_a_plain_scorer(spark):
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id as id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").selectExpr("doc_id as id", "quality as label")
+    model = compression.fit(docs, labels, queries.F.lit(True))
+    texts = {r["id"]: (r["text"] or "").encode() for r in docs.collect()}
+
+    def size(text, d):
+        how = {"level": compression.LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len((zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), **how) if d else zstandard.ZstdCompressor(**how)).compress(text))
+
+    for r in model.score(docs).limit(60).collect():
+        t = texts[r["id"]]
+        sizes = np.array([[len(t), size(t, model.dictionaries[0]), size(t, model.dictionaries[1]), size(t, None)]])
+        assert [r["size_good"], r["size_bad"]] == sizes[0, 1:3].tolist()
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-np.clip(compression.features(sizes) @ model.weights, -30, 30)))[0])
