@@ -45,8 +45,8 @@ SPAN = WINDOW - GRAM + 1
 SHARD, STREAM = 40_000, 100_000
 #: Windows in a piece at most: their places then fit in the low bits of a number.
 LONGEST = 16
-#: Parts that a shard's pieces are dealt to at most. Shards times this stay below 2^30.
-MOST_SALTS = 4_096
+#: Parts that a shard's pieces are dealt to at most, and bits that a shard and its part have in the number by which rows are dealt.
+MOST_SALTS, PLACES = 4_096, 30
 #: A table of one small row a shard is sent to all tasks up to this many rows (1 MB), and joined beyond.
 FEW = 50_000
 
@@ -289,10 +289,10 @@ def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, Da
 
     marks = stages.put(named.select("id", "t", "text").mapInArrow(_mark_rows, "mark long, id long, t long"))
     shared = marks.groupBy("mark").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("mark")
-    held = marks.join(shared.hint("shuffle_hash"), "mark").join(copies, ["id", "t"], "left_anti").groupBy("id", "t").agg(F.collect_list("mark").alias("marks"))
+    held = marks.join(shared, "mark").join(copies, ["id", "t"], "left_anti").groupBy("id", "t").agg(F.collect_list("mark").alias("marks"))
     held = stages.put(held)
     stages.drop(marks)
-    pieces = named.select("id", "t", "text").join(held.hint("shuffle_hash"), ["id", "t"]).mapInArrow(_piece_rows, _PIECE)
+    pieces = named.select("id", "t", "text").join(held, ["id", "t"]).mapInArrow(_piece_rows, _PIECE)
     pieces = stages.put(pieces.withColumn("piece", F.monotonically_increasing_id()))
     stages.drop(held)
 
@@ -300,10 +300,12 @@ def repeated_ranges(docs: DataFrame, stages: StageTables) -> tuple[DataFrame, Da
     recurring = windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min_by("place", "id").alias("place")).where("first < last")
     confirmed = stages.put(recurring.select(F.expr(f"place div {LONGEST}").alias("piece"), F.pmod("place", F.lit(LONGEST)).cast("int").alias("k")))
     shards = max(1, -(-confirmed.count() // SHARD))
+    if shards * MOST_SALTS >= 1 << PLACES:
+        raise ValueError(f"{shards} shards are more than rows can be dealt by: raise SHARD")
     bare = pieces.select(F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int").alias("shard"), "piece", "mark", "id", "t", "start", "body")
     salts = bare.groupBy("shard").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("salts"))  # a row for each shard
     salts = F.broadcast(salts) if shards <= FEW else salts
-    known = stages.put(bare.join(confirmed.groupBy("piece").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("places")).hint("shuffle_hash"), "piece"))
+    known = stages.put(bare.join(confirmed.groupBy("piece").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("places")), "piece"))
     # one number to deal and sort by: group (shard and salt), kind, low half of the mark
     low = F.col("mark").bitwiseAND(F.lit(_LOW_HALF))
     place = lambda salt, kind: F.shiftleft(F.col("shard").cast("long") * MOST_SALTS + salt, 33) + kind * (1 << 32) + low
@@ -325,4 +327,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = found.groupBy("id", "t").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")).alias("ranges"), F.lit(False).alias("copy"))
     marked = ranges.unionByName(copies.select("id", "t", F.lit(None).cast("array<long>").alias("ranges"), F.lit(True).alias("copy")))
     schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    return own.select("id", "t", "text").join(marked.hint("shuffle_hash"), ["id", "t"], "left").select("id", "text", "ranges", "copy").mapInArrow(lambda it: _apply(it, texts), schema)
+    return own.select("id", "t", "text").join(marked, ["id", "t"], "left").select("id", "text", "ranges", "copy").mapInArrow(lambda it: _apply(it, texts), schema)
