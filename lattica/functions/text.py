@@ -31,12 +31,19 @@ def integer_text(c: Column) -> Column:
 
 
 def float_text(c: Column, digits: int | None = None) -> Column:
-    """A decimal without exponent. ``digits``: with that many after the point, else as few as the value needs (one at least)."""
+    """A decimal without exponent, of any size. ``digits``: with that many after the point, else as few as the value needs (one at least); not a number and infinity as the datatype writes them."""
     d = c.try_cast("double")
+    raw = d.cast("string")
+    sign, power = F.regexp_extract(raw, "^-", 0), F.regexp_extract(raw, r"E(-?\d+)$", 1).try_cast("int")
+    figures = F.regexp_replace(F.regexp_replace(raw, r"^-|E.*$", ""), r"\.(0$)?", "")  # the first one stands before the point
+    large = F.concat(F.rpad(figures, F.greatest(power + 1, F.length(figures)), "0"))
+    split = F.concat(F.substring(large, F.lit(1), power + 1), F.lit("."), F.when(F.length(large) > power + 1, F.substring(large, power + 2, F.length(large))).otherwise("0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), figures)
+    plain = F.when(power.isNull(), raw).otherwise(F.concat(sign, F.when(power >= 0, split).otherwise(small)))
+    special = F.when(F.isnan(d), "NaN").when(F.abs(d) == float("inf"), F.when(d > 0, "INF").otherwise("-INF"))
     if digits is not None:
-        return d.cast(f"decimal(38,{digits})").cast("string")
-    plain = F.regexp_replace(d.cast("decimal(38,9)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(d.isNull(), None).otherwise(F.when((F.abs(d) >= 1e7) | ((F.abs(d) < 1e-3) & (d != 0)), plain).otherwise(d.cast("string")))
+        plain = F.coalesce(d.try_cast(f"decimal(38,{digits})").cast("string"), plain)
+    return F.when(d.isNotNull(), F.coalesce(special, plain))
 
 
 # In this order: the backslash first, or it would escape the escapes.

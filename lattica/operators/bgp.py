@@ -100,9 +100,11 @@ def select(quads: DataFrame, query: Query, focus: DataFrame | None = None) -> Da
     return found.select(*[F.col(f"`{x}`").alias(x[1:]) for x in query.select]).distinct()
 
 
-def construct(quads: DataFrame, query: Query, graph: str) -> DataFrame:
-    """The distinct quads that a CONSTRUCT makes, in ``graph``."""
+def construct(quads: DataFrame, query: Query, graph: str, focus: DataFrame | None = None) -> DataFrame:
+    """The distinct quads that a CONSTRUCT makes, in ``graph``; ``focus`` (focus): the nodes that ``$this`` may be."""
     found = solve(quads, query.where)
+    if focus is not None:
+        found = found.join(focus, F.col("`?this`") == F.col("focus"), "left_semi")
 
     def term(t) -> tuple[Column, Column, Column]:
         if isinstance(t, tuple):

@@ -20,65 +20,82 @@ def time_text(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
-def _triple(s: Column, p: str, o: Column, dt: str | None = None) -> Column:
-    return F.when(o.isNotNull(), F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit("literal" if dt else "iri").alias("o_kind"), F.lit(dt).cast("string").alias("o_dt")))
-
-
-def _emit(rows: DataFrame, triples: list[Column], graph: str) -> DataFrame:
+# The triples of a step and of a batch. A word with a colon is an IRI, any other a column; a third
+# word with ^^ is a literal of that datatype, one with | the IRI to take where the column is null.
+STEP_TRIPLES = """
+activity    rdf:type                 prov:Activity
+activity    prov:wasAssociatedWith   agent
+activity    prov:used                input
+activity    prov:generated           output
+activity    prov:startedAtTime       started_at^^xsd:dateTime
+activity    prov:endedAtTime         ended_at^^xsd:dateTime
+input       rdf:type                 prov:Entity
+input       rdf:type                 input_type|prov:Entity
+output      rdf:type                 prov:Entity
+output      rdf:type                 output_type|prov:Entity
+output      prov:wasDerivedFrom      input
+output      prov:wasGeneratedBy      activity
+output      prov:qualifiedGeneration generation
+generation  rdf:type                 prov:Generation
+generation  prov:activity            activity
+generation  prov:entity              output
+generation  pipeline:transformSpec   transform_spec^^xsd:string
+generation  pipeline:recordCount     record_count^^xsd:integer
+"""
+BATCH_TRIPLES = """
+activity    rdf:type                 prov:Activity
+activity    prov:wasAssociatedWith   agent
+activity    prov:generated           batch
+activity    prov:startedAtTime       started_at^^xsd:dateTime
+agent       rdf:type                 prov:SoftwareAgent
+agent       rdfs:label               agent_label^^xsd:string
+batch       rdf:type                 prov:Entity
+batch       rdf:type                 pipeline:IngestBatch
+batch       prov:wasDerivedFrom      source
+batch       prov:wasGeneratedBy      activity
+batch       pipeline:batchId         batch_id^^xsd:string
+batch       pipeline:sourceFingerprint fingerprint^^xsd:string
+source      rdf:type                 prov:Entity
+source      rdf:type                 pipeline:DataSource
+source      pipeline:sourceId        source_id^^xsd:string
+source      rdfs:label               label^^xsd:string
+"""
+_NAMES = {"rdf": RDF, "rdfs": RDFS, "prov": PROV, "pipeline": PIPELINE, "xsd": XSD}
+
+
+def _iri(word: str) -> str:
+    prefix, _, local = word.partition(":")
+    return _NAMES[prefix] + local
+
+
+def _triple(line: str, rows: DataFrame) -> Column:
+    """A line of such a table over the columns of ``rows``; null where the object is."""
+    subject, predicate, object_ = line.split()
+    name, _, datatype = object_.partition("^^")
+    column, _, otherwise = name.partition("|")
+    if ":" in name and not otherwise:
+        value = F.lit(_iri(name))
+    elif dict(rows.dtypes)[column] == "timestamp":
+        value = time_text(F.col(column))
+    else:
+        value = F.coalesce(F.col(column).cast("string"), F.lit(_iri(otherwise) if otherwise else None))
+    facts = {"s": F.col(subject), "p": F.lit(_iri(predicate)), "o": value, "o_kind": F.lit("literal" if datatype else "iri"), "o_dt": F.lit(_iri(datatype) if datatype else None).cast("string")}
+    return F.when(value.isNotNull(), F.struct(*[c.alias(k) for k, c in facts.items()]))
+
+
+def _emit(rows: DataFrame, table: str, graph: str) -> DataFrame:
+    triples = [_triple(line, rows) for line in table.strip().splitlines()]
     return rows.select(F.explode(F.array(*triples)).alias("t")).where("t is not null").select("t.*", F.lit(graph).alias("g")).distinct()
 
 
 def derivations(steps: DataFrame, graph: str) -> DataFrame:
     """Each step of schema STEP as an activity that used its input and generated its output."""
-    c, iri = F.col, lambda x: F.lit(x)
-    a, i, o = c("activity"), c("input"), c("output")
-    generation = F.concat(o, F.lit("/generation"))
-    type_ = RDF + "type"
-    triples = [
-        _triple(i, type_, F.coalesce(c("input_type"), iri(PROV + "Entity"))),
-        _triple(i, type_, iri(PROV + "Entity")),
-        _triple(o, type_, F.coalesce(c("output_type"), iri(PROV + "Entity"))),
-        _triple(o, type_, iri(PROV + "Entity")),
-        _triple(a, type_, iri(PROV + "Activity")),
-        _triple(a, PROV + "used", i),
-        _triple(a, PROV + "generated", o),
-        _triple(a, PROV + "wasAssociatedWith", c("agent")),
-        _triple(a, PROV + "startedAtTime", time_text(c("started_at")), XSD + "dateTime"),
-        _triple(a, PROV + "endedAtTime", time_text(c("ended_at")), XSD + "dateTime"),
-        _triple(o, PROV + "wasGeneratedBy", a),
-        _triple(o, PROV + "wasDerivedFrom", i),
-        _triple(o, PROV + "qualifiedGeneration", generation),
-        _triple(generation, type_, iri(PROV + "Generation")),
-        _triple(generation, PROV + "entity", o),
-        _triple(generation, PROV + "activity", a),
-        _triple(generation, PIPELINE + "transformSpec", c("transform_spec"), XSD + "string"),
-        _triple(generation, PIPELINE + "recordCount", c("record_count").cast("string"), XSD + "integer"),
-    ]
-    return _emit(steps, triples, graph)
+    return _emit(steps.withColumn("generation", F.concat("output", F.lit("/generation"))), STEP_TRIPLES, graph)
 
 
 def batch_start(batches: DataFrame, graph: str) -> DataFrame:
     """(batch, source, agent, activity, source_id, batch_id, label, fingerprint, started_at): a batch, its source and who began it. The fingerprint is the whole digest, beside the batch id."""
-    c, iri, type_ = F.col, lambda x: F.lit(x), RDF + "type"
-    triples = [
-        _triple(c("source"), type_, iri(PIPELINE + "DataSource")),
-        _triple(c("source"), type_, iri(PROV + "Entity")),
-        _triple(c("source"), PIPELINE + "sourceId", c("source_id"), XSD + "string"),
-        _triple(c("source"), RDFS + "label", c("label"), XSD + "string"),
-        _triple(c("batch"), type_, iri(PIPELINE + "IngestBatch")),
-        _triple(c("batch"), type_, iri(PROV + "Entity")),
-        _triple(c("batch"), PIPELINE + "batchId", c("batch_id"), XSD + "string"),
-        _triple(c("batch"), PIPELINE + "sourceFingerprint", c("fingerprint"), XSD + "string"),
-        _triple(c("batch"), PROV + "wasDerivedFrom", c("source")),
-        _triple(c("batch"), PROV + "wasGeneratedBy", c("activity")),
-        _triple(c("agent"), type_, iri(PROV + "SoftwareAgent")),
-        _triple(c("agent"), RDFS + "label", F.concat(F.lit("flow:"), c("source_id")), XSD + "string"),
-        _triple(c("activity"), type_, iri(PROV + "Activity")),
-        _triple(c("activity"), PROV + "generated", c("batch")),
-        _triple(c("activity"), PROV + "wasAssociatedWith", c("agent")),
-        _triple(c("activity"), PROV + "startedAtTime", time_text(c("started_at")), XSD + "dateTime"),
-    ]
-    return _emit(batches, triples, graph)
+    return _emit(batches.withColumn("agent_label", F.concat(F.lit("flow:"), "source_id")), BATCH_TRIPLES, graph)
 
 
 def consolidate(graph: str, *fragments: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.shapes import Shape
-from . import bgp
+from . import bgp, shacl
 
 
 def _facts(quads: DataFrame, predicate: str) -> DataFrame:
@@ -17,12 +17,15 @@ def _as_quads(df: DataFrame, s: Column, p: str, o: Column, graph: str) -> DataFr
     return df.select(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_dt"), F.lit(graph).alias("g")).distinct()
 
 
-def apply_rules(quads: DataFrame, shapes: list[Shape], graph: str) -> DataFrame | None:
-    """What the shapes' CONSTRUCT rules derive."""
+def apply_rules(quads: DataFrame, shapes: list[Shape], graph: str, ontology: list[tuple] | None = None) -> DataFrame | None:
+    """What the shapes' CONSTRUCT rules derive about the nodes that each shape targets."""
+    found = shacl.Validator(quads, ontology or [], parts=())
     out = None
-    for rule in (r for s in shapes for r in s.rules):
-        made = bgp.construct(quads, rule, graph)
-        out = made if out is None else out.unionByName(made).distinct()
+    for shape in (s for s in shapes if s.rules):
+        focus = found.focus(shape).select("focus")
+        for rule in shape.rules:
+            made = bgp.construct(quads, rule, graph, focus)
+            out = made if out is None else out.unionByName(made).distinct()
     return out
 
 

@@ -23,9 +23,9 @@ from ..operators.mapping import map_rows
 from ..operators.quads import in_scan_order, part_of, part_stats
 from ..sources import fingerprint, nquads, tsv
 from ..sources.registry import SOURCES, Source, discover
+from . import scope as scopes
 from . import templates, vocabulary
-from .scope import Scope, Transform
-from .scope import load as load_scope
+from .scope import Step, Steps, take
 from .shapes import BINDINGS, Bindings
 from .vocabulary import BASE, PIPELINE, PROV
 
@@ -46,13 +46,13 @@ def _load(path: Path) -> dict:
 
 @dataclass
 class Run:
-    """One batch of one source. ``scope`` part or dataset: whether class checks see other graphs."""
+    """One batch of one source. ``class_scope`` part or dataset: whether class checks see other graphs."""
 
     spark: SparkSession
     raw: Path
     staging: Path
     source: Source = field(default_factory=lambda: SOURCES["imdb"])
-    scope: Scope = field(default_factory=load_scope)
+    steps: Steps = field(default_factory=scopes.builtin)
     bindings: Bindings = BINDINGS
     batch_id: str | None = None
     class_scope: str = "part"
@@ -73,11 +73,11 @@ class Run:
     def entity(self, *parts: str) -> str:
         return "/".join([f"{BASE}data/{self.source.id}/staging/{self.batch_id}", *parts])
 
-    def graph_iri(self, transform: Transform, zone: str = "asserted") -> str:
-        return f"{BASE}graph/{zone}/{self.source.id}/{self.batch_id}/{stem(transform.tsv)}"
+    def graph_iri(self, transform: Step, zone: str = "asserted") -> str:
+        return f"{BASE}graph/{zone}/{self.source.id}/{self.batch_id}/{stem(transform.file)}"
 
-    def quads_dir(self, transform: Transform, zone: str) -> Path:
-        return self.dir / "graphs" / zone / stem(transform.tsv)
+    def quads_dir(self, transform: Step, zone: str) -> Path:
+        return self.dir / "graphs" / zone / stem(transform.file)
 
     # lineage
     def record(self, slug: str, input_: str, output: str, spec: str, began: datetime, count: int | None = None, type_: str | None = None, overwrite: bool = True) -> None:
@@ -110,11 +110,11 @@ class Run:
         return manifest
 
     def templates(self, only: list[str] | None = None) -> dict:
-        began, chosen = datetime.now(UTC), self.scope.resolve(only)
-        found = [t for x in chosen for t in templates.builtin(x.id).templates]
+        began, chosen = datetime.now(UTC), take(self.steps, only)
+        found = [t for x in chosen for t in templates.builtin(x.name).templates]
         listing = templates.catalog(found)
         _json(self.dir / "templates" / "catalog.json", listing)
-        layout = {t.id: {"graph_iri": self.graph_iri(t)} | {z: f"graphs/{z}/{stem(t.tsv)}" for z in ZONES} for t in chosen}
+        layout = {t.name: {"graph_iri": self.graph_iri(t)} | {z: f"graphs/{z}/{stem(t.file)}" for z in ZONES} for t in chosen}
         for t in chosen:
             for z in ZONES:
                 self.quads_dir(t, z).mkdir(parents=True, exist_ok=True)
@@ -122,27 +122,27 @@ class Run:
         self.record("30-load-templates", self.entity(), self.entity("templates", "catalog"), "load-templates@v1", began, len(found), PIPELINE + "OttrTemplateCatalog")
         return listing
 
-    def _mapping(self, t: Transform) -> templates.Mapping:
-        m = templates.builtin(t.id)
+    def _mapping(self, t: Step) -> templates.Mapping:
+        m = templates.builtin(t.name)
         if self.separators is None:
             return m
         from dataclasses import replace
 
         return replace(m, fields={k: replace(f, separators=self.separators) if f.kind == "concept" else f for k, f in m.fields.items()})
 
-    def quads(self, t: Transform) -> tuple[DataFrame, DataFrame]:
+    def quads(self, t: Step) -> tuple[DataFrame, DataFrame]:
         """(rows with row_ord and part_index, quads) of a transform."""
-        rows = in_scan_order(tsv.read_source(self.spark, self.source, self.raw / t.tsv)).withColumn("part_index", part_of(F.col("row_ord"), t.chunk_rows))
+        rows = in_scan_order(tsv.read_source(self.spark, self.source, self.raw / t.file)).withColumn("part_index", part_of(F.col("row_ord"), t.part_rows))
         return rows, map_rows(rows, self._mapping(t), self.graph_iri(t), "part_index", "row_ord", strict=self.strict)
 
     def materialize(self, only: list[str] | None = None) -> list[dict]:
         out = []
-        for t in self.scope.resolve(only):
+        for t in take(self.steps, only):
             began, work = datetime.now(UTC), self.quads_dir(t, "work")
-            key = {"input_hash": self.hashes[t.tsv], "transform_spec": t.transform_spec, "mapping": repr(self._mapping(t)), "chunk_rows": t.chunk_rows}
+            key = {"input_hash": self.hashes[t.file], "transform_spec": t.version, "mapping": repr(self._mapping(t)), "chunk_rows": t.part_rows}
             known = _load(work / "chunks.json")
             if known and all(known.get(k) == v for k, v in key.items()) and (work / "quads").is_dir():
-                out.append(known | {"transform_id": t.id, "skipped": True})
+                out.append(known | {"transform_id": t.name, "skipped": True})
                 continue
             rows, quads = self.quads(t)
             quads.write.mode("overwrite").partitionBy("part_index").parquet(str(work / "quads"))
@@ -150,17 +150,17 @@ class Run:
             parts = [r.asDict() for r in part_stats(rows, stored).orderBy("part_index").collect()]
             stats = key | {"parts": parts, "total_rows": sum(p["rows"] for p in parts), "total_triples": sum(p["triples"] for p in parts)}
             _json(work / "chunks.json", stats)
-            self.record(f"40-materialize-{t.id}", self.entity("raw", t.tsv), self.graph_iri(t, "work"), t.transform_spec, began, stats["total_rows"], PIPELINE + "NamedGraph")
-            out.append(stats | {"transform_id": t.id, "skipped": False})
+            self.record(f"40-materialize-{t.name}", self.entity("raw", t.file), self.graph_iri(t, "work"), t.version, began, stats["total_rows"], PIPELINE + "NamedGraph")
+            out.append(stats | {"transform_id": t.name, "skipped": False})
         return out
 
-    def read(self, t: Transform, zone: str) -> DataFrame:
+    def read(self, t: Step, zone: str) -> DataFrame:
         return self.spark.read.schema("s string, p string, o string, o_kind string, o_dt string, g string, row_ord long, part_index int").parquet(str(self.quads_dir(t, zone) / "quads"))
 
     def context(self) -> DataFrame | None:
         """Type quads of everything materialized, for class checks over the whole dataset."""
         out = None
-        for t in self.scope.enabled:
+        for t in take(self.steps):
             if (self.quads_dir(t, "work") / "quads").is_dir():
                 typed = self.read(t, "work").where(F.col("p") == vocabulary.RDF + "type").select("s", "p", "o")
                 out = typed if out is None else out.unionByName(typed)
@@ -169,8 +169,8 @@ class Run:
     def validate(self, only: list[str] | None = None) -> list[dict]:
         """Check each part, move it whole to its zone, and report."""
         ontology, out = vocabulary.ontology_triples(), []
-        for t in self.scope.resolve(only):
-            began, shapes = datetime.now(UTC), self.bindings.shapes(t.id)
+        for t in take(self.steps, only):
+            began, shapes = datetime.now(UTC), self.bindings.shapes(t.name)
             parts = _load(self.quads_dir(t, "work") / "chunks.json").get("parts", [])
             gated, results, quads = [], None, None
             if parts:
@@ -188,11 +188,11 @@ class Run:
                     zoned.write.mode("overwrite").partitionBy("part_index").parquet(str(target / "quads"))
                     nquads.write(zoned, str(target / "nquads"), "part_index")
                     triples = {p["part_index"]: p for p in parts}
-                    _json(target / "chunks.json", {"transform_id": t.id, "parts": [triples[m] for m in members]})
-                    self.record(f"50-validate-{t.id}" + ("" if zone == "asserted" else "-quarantine"), self.graph_iri(t, "work"), self.graph_iri(t, zone), f"validate-{t.id}@v1", began, sum(triples[m]["triples"] for m in members), PIPELINE + "NamedGraph")
+                    _json(target / "chunks.json", {"transform_id": t.name, "parts": [triples[m] for m in members]})
+                    self.record(f"50-validate-{t.name}" + ("" if zone == "asserted" else "-quarantine"), self.graph_iri(t, "work"), self.graph_iri(t, zone), f"validate-{t.name}@v1", began, sum(triples[m]["triples"] for m in members), PIPELINE + "NamedGraph")
             n, good = len(gated), len(ok)
             word = "skipped-no-parts" if not n else ("passed" if shapes else "passed-no-shapes") if good == n else "failed" if not good else "failed-partial"
-            report = {"transform_id": t.id, "graph_iri": self.graph_iri(t), "status": word, "engine": "lattica", "validated_at": datetime.now(UTC).isoformat(), "parts_total": n, "parts_conformant": good, "parts_quarantined": n - good, "violations": sum(g["violations"] for g in gated), "warnings": sum(g["warnings"] for g in gated), "shapes": self.bindings.names(t.id), "parts": gated}
+            report = {"transform_id": t.name, "graph_iri": self.graph_iri(t), "status": word, "engine": "lattica", "validated_at": datetime.now(UTC).isoformat(), "parts_total": n, "parts_conformant": good, "parts_quarantined": n - good, "violations": sum(g["violations"] for g in gated), "warnings": sum(g["warnings"] for g in gated), "shapes": self.bindings.names(t.name), "parts": gated}
             folder = self.quads_dir(t, "reports")
             _json(folder / "validation.json", report)
             if results is not None and (n > good or report["warnings"]):

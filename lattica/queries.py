@@ -87,7 +87,7 @@ _ALL = "('name-basics', 'name.basics.tsv.gz'), ('title-akas', 'title.akas.tsv.gz
 
 @query(f"select * from (values {_ALL}) x(id, tsv) where id in ('title-ratings', 'title-basics', 'nothing')")
 def scope_filter(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame([(x.id, x.tsv) for x in scope.load().resolve(["title-ratings", "title-basics", "title-crew", "nothing"])], "id string, tsv string")
+    return t.spark.createDataFrame([(x.name, x.file) for x in scope.take(scope.builtin(), ["title-ratings", "title-basics", "title-crew", "nothing"])], "id string, tsv string")
 
 
 # ---- projections
@@ -286,7 +286,7 @@ def missing_files(t: Tables) -> DataFrame:
 
 @query("select * from (values ('name-basics', 'data-quality,vocab-schemes'), ('title-akas', ''), ('title-basics', 'data-quality,vocab-schemes'), ('title-episode', 'data-quality'), ('title-ratings', '')) x(transform, shapes)")
 def shape_binding(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame([(x.id, ",".join(shapes.BINDINGS.names(x.id))) for x in scope.load().enabled], "transform string, shapes string")
+    return t.spark.createDataFrame([(x.name, ",".join(shapes.BINDINGS.names(x.name))) for x in scope.take(scope.builtin())], "transform string, shapes string")
 
 
 # ---- shapes
@@ -423,9 +423,12 @@ _RULE = f"""<{NS}PriceyRule> a sh:NodeShape ; sh:targetClass <{NS}Part> ; sh:rul
   sh:construct "PREFIX r: <{NS}> CONSTRUCT {{ $this rdf:type r:Pricey . }} WHERE {{ $this r:price ?p ; r:size ?v . FILTER (?p >= 950.0 && ?v >= 25) }}" ] ."""
 
 
-@query(f"select '{N}part/' || p_partkey as s, '{RDF}type' as p, '{NS}Pricey' as o from part where p_retailprice >= 950 and p_size >= 25")
+@query(f"select '{N}part/' || p_partkey as s, '{RDF}type' as p, '{NS}Pricey' as o from part where p_retailprice >= 950 and p_size >= 25 and p_partkey % 3 <> 0")
 def rule_threshold(t: Tables) -> DataFrame:
-    return rules.apply_rules(t.quads("ratings"), shapes.read(_RULE), r.GRAPH + "inferred").select("s", "p", "o")
+    """A third of the parts are of no class: they meet the thresholds and are no focus of the rule."""
+    typed = t.part.where("p_partkey % 3 <> 0").select(terms.entity_iri(N + "part/", F.col("p_partkey")).alias("s"), F.lit(RDF + "type").alias("p"), F.lit(NS + "Part").alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_dt"))
+    quads = t.quads("ratings").select("s", "p", "o", "o_kind", "o_dt").unionByName(typed)
+    return rules.apply_rules(quads, shapes.read(_RULE), r.GRAPH + "inferred").select("s", "p", "o")
 
 
 @query(f"select distinct '{N}order/' || l_orderkey as s, '{N}lineitem/' || l_orderkey || '-' || l_linenumber as o from lineitem")

@@ -73,7 +73,12 @@ def test_nquads_round_trip(spark):
 def test_ratings_and_rule(spark):
     quads = mapped(spark, "title-ratings", ("tt1", "8.4", "1500"), ("tt2", "8.4", "999"), ("tt3", "7.9", "5000"), ("tt4", "8.0", "1000"))
     assert quads.count() == 8
-    derived = rules.apply_rules(quads, shapes.read(shapes.RULES), "http://example.org/inferred")
+    typed = [(T + x, v.RDF + "type", v.IMDB + c, "iri", None, "http://x/g") for x, c in (("tt1", "Title"), ("tt2", "Title"), ("tt3", "Title"), ("tt4", "Movie"))]
+    typed += [(T + "tt9", v.RDF + "type", v.CORE + "Person", "iri", None, "http://x/g"), (T + "tt9", v.IMDB + "averageRating", "9.0", "literal", v.XSD + "float", "http://x/g"), (T + "tt9", v.IMDB + "numVotes", "5000", "literal", v.XSD + "integer", "http://x/g")]
+    typed = spark.createDataFrame(typed, QUAD)
+    of = lambda q: rules.apply_rules(q, shapes.read(shapes.RULES), "http://example.org/inferred", v.ontology_triples())
+    assert of(quads).count() == 0  # of no class, and so no focus of the rule
+    derived = of(quads.select(*typed.columns).unionByName(typed))
     assert found(derived) == [("tt1", "type", v.IMDB + "ClassicTitle", "iri"), ("tt4", "type", v.IMDB + "ClassicTitle", "iri")]
 
 
@@ -170,9 +175,12 @@ def test_templates():
 
 
 def test_scope_and_bindings(tmp_path):
-    s = scope.load()
-    assert len(s.enabled) == 5 and [t.id for t in s.pending] == ["title-crew"]
-    assert [t.id for t in s.resolve(["title-akas", "title-crew", "?"])] == ["title-akas"]
+    s = scope.builtin()
+    assert len(scope.take(s)) == 5 and [x.name for x in s.values() if not x.active] == ["title-crew"]
+    assert [x.name for x in scope.take(s, ["title-akas", "title-crew", "?"])] == ["title-akas"]
+    config = tmp_path / "steps.toml"
+    config.write_text('part_rows = 7\n[files."a.tsv.gz"]\nstep = "a"\n[files."b.tsv.gz"]\nstep = "b"\nversion = "b@v2"\nactive = false\n')
+    assert scope.load(config) == {"a": scope.Step("a", "a.tsv.gz", "materialize-a@v1", 7), "b": scope.Step("b", "b.tsv.gz", "b@v2", 7, False)}
     assert scope.parse_only(" a, ,b") == ["a", "b"] and scope.parse_only("") is None
     extra = 'imdb:X a sh:NodeShape ; sh:targetClass imdb:Title ; pipeline:appliesToTransform "title-akas", "title-basics" .'
     b = shapes.Bindings({"title-basics": ("data-quality",)}, {"data-quality": shapes.DATA_QUALITY, "extra": extra})
@@ -281,3 +289,15 @@ def test_streaming_agrees_with_batch(spark, tmp_path):
     landing.land(rows, *args, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()  # nothing new
     batch = map_rows(tsv.read(spark, str(tmp_path / "in"), columns), *args)
     assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).drop("batch").collect())) == sorted(map(str, batch.collect()))
+
+
+def test_floats_of_any_size(spark):
+    values = ["1e30", "-1e30", "1e-12", "8.4", "1e7", "12345678.25", "-0.00012", "123456789012345680", "0", "1.5e300", "4.9e-324", "NaN", "Infinity", "-Infinity", "x", None]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x string").orderBy("i").select(text.float_text(F.col("x"))).collect()]
+    for x, y in zip(values, got, strict=True):
+        if x in ("x", None):
+            assert y is None
+        elif x[-1] in "Ny":
+            assert y == {"NaN": "NaN", "Infinity": "INF", "-Infinity": "-INF"}[x]
+        else:
+            assert float(y) == float(x) and "E" not in y and "." in y, (x, y)

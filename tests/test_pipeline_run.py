@@ -30,17 +30,17 @@ def folders(tmp_path):
 
 
 def test_run(spark, folders):
-    small = replace(scope.load(), transforms=tuple(replace(t, chunk_rows=1000) for t in scope.load().transforms))
-    run = Run(spark, *folders, scope=small)
+    small = scope.builtin(part_rows=1000)
+    run = Run(spark, *folders, steps=small)
     result = run.ingest()
     status = {r["transform_id"]: (r["status"], r["parts_total"], r["parts_conformant"]) for r in result["transforms"]}
     assert status == {"name-basics": ("skipped-no-parts", 0, 0), "title-akas": ("passed-no-shapes", 1, 1), "title-basics": ("failed-partial", 3, 2), "title-episode": ("failed", 1, 0), "title-ratings": ("passed-no-shapes", 1, 1)}
     manifest = json.loads((run.dir / "manifest.json").read_text())
     assert manifest["file_count"] == 6 and {f["file"]: f["row_count"] for f in manifest["files"]} == {n: len(x) - 1 for n, x in FILES.items()}
     assert manifest["batch_id"] == manifest["source_fingerprint"][:16] == run.batch_id
-    akas = spark.read.text(str(run.quads_dir(small.by_id("title-akas"), "asserted") / "nquads")).collect()
+    akas = spark.read.text(str(run.quads_dir(small["title-akas"], "asserted") / "nquads")).collect()
     assert sorted(r["value"].split('"', 1)[1].rsplit('"', 1)[0] for r in akas) == sorted(['Fred \\"The\\" X', "back\\\\slash", '\\"unbalanced'])
-    basics = small.by_id("title-basics")
+    basics = small["title-basics"]
     work = run.read(basics, "work").count()
     zones = [run.read(basics, z) for z in ("asserted", "quarantine")]
     assert sum(z.count() for z in zones) == work == 2500 * 8
@@ -53,10 +53,10 @@ def test_run(spark, folders):
     assert len({s for s, p, o, g in turtle.parse(body) if o[1].endswith("prov#Activity")}) >= 6 + 6 + 1 + 5
     assert result["total_triples"] == 3 + 3 + 2500 * 8 + 3
 
-    again = Run(spark, *folders, scope=small)
+    again = Run(spark, *folders, steps=small)
     assert again.batch_id == run.batch_id and all(m["skipped"] for m in again.materialize())
     assert again.stage() == manifest
-    whole = Run(spark, *folders, scope=small, class_scope="dataset")
+    whole = Run(spark, *folders, steps=small, class_scope="dataset")
     assert {r["transform_id"]: r["status"] for r in whole.validate(["title-episode"])} == {"title-episode": "passed"}
 
 
