@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.sparql import Group, Pattern, Query
 from ..plans.vocabulary import XSD
+from .quads import subject_kind
 
 _NUMERIC = tuple(XSD + t for t in ("integer", "decimal", "float", "double"))
 
@@ -22,13 +23,13 @@ def _scan(quads: DataFrame, p: Pattern) -> DataFrame:
     if isinstance(p.s, tuple):
         rows = rows.where(F.col("s") == p.s[1])
     else:
-        out += [F.col("s").alias(p.s), F.lit("iri").alias(p.s + ".kind"), F.lit(None).cast("string").alias(p.s + ".dt")]
+        out += [F.col("s").alias(p.s), subject_kind(F.col("s")).alias(p.s + ".kind"), F.lit(None).cast("string").alias(p.s + ".dt")]
     if isinstance(p.o, tuple):
         rows = rows.where((F.col("o") == p.o[1]) & (F.col("o_kind") == p.o[0]))
         if p.o[0] == "literal":
             rows = rows.where(F.col("o_dt") == p.o[2])
     elif p.o == p.s:
-        rows = rows.where((F.col("s") == F.col("o")) & (F.col("o_kind") == "iri"))
+        rows = rows.where((F.col("s") == F.col("o")) & (F.col("o_kind") != "literal"))
     else:
         out += [F.col("o").alias(p.o), F.col("o_kind").alias(p.o + ".kind"), F.col("o_dt").alias(p.o + ".dt")]
     return rows.select(*out or [F.lit(1).alias("_")]).distinct()
@@ -77,7 +78,7 @@ def solve(quads: DataFrame, group: Group, focus: DataFrame | None = None) -> Dat
     """Solutions of a group: columns ``?x``, with ``?x.kind`` and ``?x.dt``. ``focus``: a column s (and part columns) to which ``?this`` is bound beforehand; it drives the plan where no pattern does."""
     now = None
     if focus is not None:
-        now = focus.select(F.col("s").alias("?this"), F.lit("iri").alias("?this.kind"), F.lit(None).cast("string").alias("?this.dt"), *[c for c in focus.columns if c != "s"]).distinct()
+        now = focus.select(F.col("s").alias("?this"), subject_kind(F.col("s")).alias("?this.kind"), F.lit(None).cast("string").alias("?this.dt"), *[c for c in focus.columns if c != "s"]).distinct()
     rest = list(group.patterns)
     while rest:
         k = next((i for i, p in enumerate(rest) if now is None or _variables(now) & {x for x in (p.s, p.o) if isinstance(x, str)}), None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.turtle import Quad, trig
 from ..plans.vocabulary import BASE, PIPELINE, PROV, RDF, RDFS, XSD
-from .quads import union_graphs, without_default
+from .quads import settle, union_graphs, without_default
 
 STEP = "slug string, activity string, agent string, input string, output string, transform_spec string, started_at timestamp, ended_at timestamp, record_count bigint, input_type string, output_type string"
 
@@ -106,7 +106,7 @@ def consolidate(graph: str, *fragments: DataFrame) -> DataFrame:
 def trace(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """``edges``: (start, parent). Returns (start, ancestor, depth): everything upstream, nearest depth.
 
-    A frontier walks up one step a round, so each round joins only what was new in the last.
+    A frontier walks up one step a round and is stored, so each round joins only what was new in the last.
     """
     steps = edges.select("start", "parent").distinct()
     front = steps.select("start", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("depth"))
@@ -114,8 +114,7 @@ def trace(edges: DataFrame, rounds: int = 100) -> DataFrame:
     for depth in range(2, rounds + 2):
         front = front.join(steps.select(F.col("start").alias("ancestor"), F.col("parent").alias("next")), "ancestor").select("start", F.col("next").alias("ancestor"), F.lit(depth).cast("long").alias("depth")).distinct()
         front = front.join(out.select("start", "ancestor"), ["start", "ancestor"], "left_anti")
-        if edges.sparkSession.sparkContext.getCheckpointDir():
-            front = front.checkpoint()
+        front = settle(front)
         if front.isEmpty():
             return out
         out = out.unionByName(front)

@@ -1,6 +1,6 @@
 """Rows to quads: a mapping compiled to one projection and one explode.
 
-Every triple of every template is a struct of an array, null where an argument
+Every triple of every template is a struct of an array, dropped where an argument
 isn't set; list fields add a transformed array. One pass over the source, no
 shuffle, no row loop.
 """
@@ -37,42 +37,45 @@ def _value(field: Field, c: Column, strict: bool) -> Column:
     return F.coalesce(set_, F.raise_error(F.lit(f"{field.column} isn't set"))) if strict and field.required else set_
 
 
-def _triple(s: Column, p: Column, o: Column, datatype: str | None) -> Column:
-    kind, dt = F.lit("literal" if datatype else "iri"), F.lit(datatype).cast("string")
-    return F.when(s.isNotNull() & p.isNotNull() & o.isNotNull(), F.struct(s.alias("s"), p.alias("p"), o.alias("o"), kind.alias("o_kind"), dt.alias("o_dt")))
-
-
-def triples(mapping: Mapping, strict: bool = False) -> Column:
-    """An array of triples, nulls among them, for a row of the mapping's source."""
-    single, lists = [], []
-
-    def column(token: str) -> Column:
-        return _value(mapping.fields[token], F.col(mapping.fields[token].column).cast("string"), strict) if token.startswith("?") else F.lit(token)
-
-    def item(s: str, p: str, field: Field, datatype: str | None):
-        return lambda x: _triple(column(s), column(p), _value(field, x, strict), datatype)
-
-    for template in mapping.templates:
-        for s, p, o in template.triples:
-            field = mapping.fields.get(o)
-            datatype = v.XSD + _LITERALS[field.kind] if field is not None and field.kind in _LITERALS else None
-            if field is not None and field.many:
-                items = text.split_clean(F.col(field.column).cast("string"), field.separator)
-                lists.append(F.transform(items, item(s, p, field, datatype)))
-            else:
-                single.append(_triple(column(s), column(p), column(o), datatype))
-    return F.concat(F.array(*single), *lists) if single and lists else F.array(*single) if single else F.concat(*lists)
+def _struct(s: Column, p: Column, o: Column, datatype: str | None) -> Column:
+    return F.struct(s.alias("s"), p.alias("p"), o.alias("o"), F.lit("literal" if datatype else "iri").alias("o_kind"), F.lit(datatype).cast("string").alias("o_dt"))
 
 
 def map_rows(rows: DataFrame, mapping: Mapping, graph: Column | str, *keep: str, strict: bool = False) -> DataFrame:
     """Quads of ``rows`` in graph ``graph``, with the bookkeeping columns ``keep`` of their row.
 
     A triple without one of its arguments is dropped; ``strict`` raises where a
-    required field isn't set or a type is unknown.
+    required field isn't set or a type is unknown. Each field in use is made
+    once, in a projection below the explode: inlined into every triple, the
+    generated method outgrows what the JVM compiles and runs interpreted.
     """
     g = F.lit(graph) if isinstance(graph, str) else graph
-    made = rows.select(*keep, g.alias("g"), F.explode(triples(mapping, strict)).alias("t")).where("t is not null")
-    return made.select("t.*", "g", *keep)
+    made: dict[str, Column] = {}
+
+    def term(token: str) -> Column:
+        if not token.startswith("?"):
+            return F.lit(token)
+        field = mapping.fields[token]
+        made.setdefault(f"_{token[1:]}", _value(field, F.col(field.column).cast("string"), strict))
+        return F.col(f"_{token[1:]}")
+
+    def items(s: str, p: str, o: str, field: Field, datatype: str | None) -> Column:
+        made.setdefault(f"_{o[1:]}", text.split_clean(F.col(field.column).cast("string"), field.separator))
+        subject, predicate = term(s), term(p)
+        return F.transform(F.col(f"_{o[1:]}"), lambda x: _struct(subject, predicate, _value(field, x, strict), datatype))
+
+    single, lists = [], []
+    for s, p, o in (x for t in mapping.templates for x in t.triples):
+        field = mapping.fields.get(o)
+        datatype = v.XSD + _LITERALS[field.kind] if field is not None and field.kind in _LITERALS else None
+        if field is not None and field.many:
+            lists.append(items(s, p, o, field, datatype))
+        else:
+            single.append(_struct(term(s), term(p), term(o), datatype))
+    all_ = F.concat(F.array(*single), *lists) if single and lists else F.array(*single) if single else F.concat(*lists)
+    flat = rows.select(*keep, g.alias("g"), *[c.alias(n) for n, c in made.items()])
+    whole = F.col("t.s").isNotNull() & F.col("t.p").isNotNull() & F.col("t.o").isNotNull()
+    return flat.select(*keep, "g", F.explode(all_).alias("t")).where(whole).select("t.*", "g", *keep)
 
 
 def dropped(rows: DataFrame, mapping: Mapping) -> DataFrame:
@@ -91,3 +94,17 @@ def rejected_types(rows: DataFrame, mapping: Mapping) -> DataFrame:
     for f in named:
         bad = bad | (text.is_set(F.col(f.column)) & _value(f, F.col(f.column), False).isNull())
     return rows.where(bad)
+
+
+def losses(rows: DataFrame, mapping: Mapping) -> dict[str, dict[str, int]]:
+    """What a lenient run leaves out, from one aggregation: rows that lack each required field, and rows whose type name is unknown, by field."""
+    value = lambda f: _value(f, F.col(f.column).cast("string"), False)
+    lacking = {f.column: value(f).isNull() for f in mapping.fields.values() if f.required}
+    unknown = {f.column: text.is_set(F.col(f.column)) & value(f).isNull() for f in mapping.fields.values() if f.kind == "class"}
+    counted = [("dropped_null", c, bad) for c, bad in lacking.items()] + [("unknown_type", c, bad) for c, bad in unknown.items()]
+    out: dict[str, dict[str, int]] = {"dropped_null": {}, "unknown_type": {}}
+    if counted:
+        found = rows.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(counted)]).first()
+        for (kind, column, _), n in zip(counted, found, strict=True):
+            out[kind][column] = n
+    return out

@@ -1,12 +1,13 @@
 """The quad table: schema, sets and bags, parts and their statistics.
 
-``o`` holds an object's lexical form; ``o_kind`` is iri or literal and ``o_dt``
-a literal's datatype. Files hold bags of quads, graphs are sets of them.
+``o`` holds an object's lexical form; ``o_kind`` is iri, blank or literal and ``o_dt``
+a literal's datatype, or its language as @tag. Files hold bags of quads, graphs are sets of them.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,26 @@ def with_predicate(quads: DataFrame, *predicates: str) -> DataFrame:
     return quads.where(F.col("p").isin(*predicates)) if len(predicates) > 1 else quads.where(F.col("p") == predicates[0])
 
 
+def subject_kind(s: Column) -> Column:
+    """A subject is an IRI or, as its ``_:`` tells, a blank node."""
+    return F.when(s.startswith("_:"), "blank").otherwise("iri")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The same rows, stored: read again instead of computed again, by whichever executor, and with a lineage of their own.
+
+    They go to the session's checkpoint folder, which a cluster shares
+    (``spark.checkpoint.dir``). Where none is set, one machine uses a temporary
+    folder; on a cluster that is an error.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lattica-checkpoint-"))
+    return df.checkpoint()
+
+
 _LOCAL = (1 << 33) - 1
 
 
@@ -50,13 +71,13 @@ def with_ordinal(rows: DataFrame, *keys: Column | str, name: str = "row_ord") ->
     """Dense ordinals from 0 by ``keys``, without ordering all rows in one task.
 
     Rows are range-partitioned, sorted and numbered where they are. The placed
-    rows are kept (memory, then disk): the borders come from a sample, and the
-    sizes must be those of the same partitions.
+    rows are stored: the borders come from a sample, and the sizes must be those
+    of the same partitions, an executor's loss notwithstanding.
     """
     order = [F.col(k) if isinstance(k, str) else k for k in keys]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
-    return _dense(placed.persist(StorageLevel.MEMORY_AND_DISK), name)
+    return _dense(settle(placed), name)
 
 
 def in_scan_order(rows: DataFrame, name: str = "row_ord") -> DataFrame:

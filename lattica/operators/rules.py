@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.shapes import Shape
+from ..plans.vocabulary import RDF, RDFS
 from . import bgp, shacl
+from .quads import settle
 
 
 def _facts(quads: DataFrame, predicate: str) -> DataFrame:
@@ -54,13 +56,35 @@ def at_least(quads: DataFrame, link: str, n: int, type_: str, class_: str, graph
     return _as_quads(found, F.col("o"), type_, F.lit(class_), graph)
 
 
+def typed_by_ends(quads: DataFrame, ontology: list[tuple[str, str, str]], graph: str) -> DataFrame:
+    """The classes that domains and ranges give to subjects and to objects that aren't literals: one pass, no join, as an ontology is configuration."""
+    ends = {RDFS + "domain": {}, RDFS + "range": {}}
+    for s, p, o in ontology:
+        if p in ends:
+            ends[p].setdefault(s, []).append(o)
+    told = sorted({p for named in ends.values() for p in named})
+    if not told:
+        return _as_quads(quads.where(F.lit(False)), F.col("s"), RDF + "type", F.col("o"), graph)
+
+    def typings(node: Column, named: dict[str, list[str]], wanted: Column) -> Column:
+        none = F.array().cast("array<struct<s:string,o:string>>")
+        out = F.when(F.lit(False), none)
+        for p, classes in sorted(named.items()):
+            out = out.when(wanted & (F.col("p") == p), F.array(*[F.struct(node.alias("s"), F.lit(c).alias("o")) for c in sorted(set(classes))]))
+        return out.otherwise(none)
+
+    both = F.concat(typings(F.col("s"), ends[RDFS + "domain"], F.lit(True)), typings(F.col("o"), ends[RDFS + "range"], F.col("o_kind") != "literal"))
+    found = quads.where(F.col("p").isin(told)).select(F.explode(both).alias("t")).select("t.*")
+    return _as_quads(found, F.col("s"), RDF + "type", F.col("o"), graph)
+
+
 def closure(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """The transitive closure of (sub, sup), not reflexive, for class-sized graphs: paths double in each round until none is new."""
-    now = edges.select("sub", "sup").distinct()
+    """The transitive closure of (sub, sup), not reflexive, for class-sized graphs: paths double in each round until none is new. Each round is stored, so none computes an earlier one again."""
+    now = settle(edges.select("sub", "sup").distinct())
     n = now.count()
     for _ in range(rounds):
         step = now.join(now.select(F.col("sub").alias("sup"), F.col("sup").alias("far")), "sup").select("sub", F.col("far").alias("sup"))
-        now = now.unionByName(step).distinct().checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else now.unionByName(step).distinct()
+        now = settle(now.unionByName(step).distinct())
         before, n = n, now.count()
         if n == before:
             return now
@@ -68,13 +92,20 @@ def closure(edges: DataFrame, rounds: int = 30) -> DataFrame:
 
 
 def close_pairs(edges: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """The same for edges on the driver."""
-    out = set(edges)
-    while True:
-        new = {(a, d) for a, b in out for c, d in out if b == c} - out
-        if not new:
-            return sorted(out)
-        out |= new
+    """The same for edges on the driver: a walk from each node over what it points to."""
+    to: dict[str, set[str]] = {}
+    for sub, sup in edges:
+        to.setdefault(sub, set()).add(sup)
+    out = []
+    for start in to:
+        seen, ahead = set(), list(to[start])
+        while ahead:
+            node = ahead.pop()
+            if node not in seen:
+                seen.add(node)
+                ahead.extend(to.get(node, ()))
+        out += [(start, end) for end in seen]
+    return sorted(out)
 
 
 def with_subproperties(quads: DataFrame, predicate: str, edges: list[tuple[str, str]]) -> DataFrame:

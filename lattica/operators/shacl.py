@@ -15,6 +15,7 @@ from ..functions.text import escape, well_typed
 from ..plans.shapes import Shape
 from ..plans.vocabulary import RDF, RDFS, SH
 from . import bgp
+from .quads import subject_kind
 
 RESULT = ("focus", "shape", "path", "component", "severity", "value", "message")
 #: Sources whose closure is this small are closed on the driver.
@@ -40,8 +41,8 @@ class Validator:
         if len(ontology) > TBOX:
             raise ValueError("an ontology is configuration: give large ones as context")
         self.parts = tuple(parts)
-        # a graph is a set: repeated quads of a part are one
-        self.quads = quads.select("s", "p", "o", "o_kind", "o_dt", *self.parts).distinct()
+        # a graph is a set: each check takes what it needs of the bag and makes that distinct
+        self.quads = quads.select("s", "p", "o", "o_kind", "o_dt", *self.parts)
         self.ontology, self.context = ontology, context
         self.edges = [(s, o) for s, p, o in ontology if p == RDFS + "subClassOf"]
 
@@ -54,10 +55,10 @@ class Validator:
         """(focus, focus_kind, part columns): distinct nodes that the target selects."""
         kind, name = shape.target
         if kind == "class":
-            return self._types(name).select(F.col("node").alias("focus"), F.lit("iri").alias("focus_kind"), *self.parts)
+            return self._types(name).select(F.col("node").alias("focus"), subject_kind(F.col("node")).alias("focus_kind"), *self.parts)
         end = "s" if kind == "subjects" else "o"
         rows = self.quads.where(F.col("p") == name)
-        return rows.select(F.col(end).alias("focus"), (F.lit("iri") if end == "s" else F.col("o_kind")).alias("focus_kind"), *self.parts).distinct()
+        return rows.select(F.col(end).alias("focus"), (subject_kind(F.col("s")) if end == "s" else F.col("o_kind")).alias("focus_kind"), *self.parts).distinct()
 
     def _result(self, df: DataFrame, shape: Shape, component: str, severity: str, message: str, path: str | None = None, value: Column | None = None) -> DataFrame:
         text = lambda x: F.lit(x).cast("string")
@@ -85,7 +86,8 @@ class Validator:
         required = [p for p in shape.properties if p.min_count > 0]
         if required:
             # one aggregation for all paths, kept by the focus nodes that lack something
-            counts = values.groupBy(*key).agg(*[F.count_if(F.col("p") == p.path).alias(f"n{i}") for i, p in enumerate(required)])
+            needed = values.where(F.col("p").isin(sorted({p.path for p in required}))).distinct()
+            counts = needed.groupBy(*key).agg(*[F.count_if(F.col("p") == p.path).alias(f"n{i}") for i, p in enumerate(required)])
             short = focus.join(counts, key, "left").fillna(0, [f"n{i}" for i in range(len(required))])
             lacking = F.filter(
                 F.array(*[F.when(F.col(f"n{i}") < p.min_count, F.struct(F.lit(p.path).alias("path"), F.lit(p.severity).alias("severity"), F.lit(p.message).alias("message"))) for i, p in enumerate(required)]),
@@ -93,16 +95,24 @@ class Validator:
             )
             found = short.select(*key, F.explode(lacking).alias("x"))
             out.append(found.select(*self.parts, "focus", F.lit(shape.iri).alias("shape"), "x.path", F.lit("minCount").alias("component"), "x.severity", F.lit(None).cast("string").alias("value"), "x.message"))
-        checked = values.join(focus.select(*key), key, "left_semi") if values is not None else None
+        # what a value shows by itself: one pass over the values of all properties, and only faulty ones are shuffled
+        faults = []
         for p in shape.properties:
-            own = checked.where(F.col("p") == p.path)
+            mine = F.col("p") == p.path
+            said = lambda c, p=p: F.struct(F.lit(p.path).alias("path"), F.lit(c).alias("component"), F.lit(p.severity).cast("string").alias("severity"), F.lit(p.message).cast("string").alias("message"))
             if p.datatype:
                 bad = (F.col("o_kind") != "literal") | ~F.col("o_dt").eqNullSafe(F.lit(p.datatype)) | ~well_typed(F.col("value"), p.datatype)
-                out.append(self._result(own.where(bad), shape, "datatype", p.severity, p.message, p.path, F.col("value")))
+                faults.append(F.when(mine & bad, said("datatype")))
             if p.node_kind:
-                out.append(self._result(own.where(F.col("o_kind") != p.node_kind), shape, "nodeKind", p.severity, p.message, p.path, F.col("value")))
+                faults.append(F.when(mine & (F.col("o_kind") != p.node_kind), said("nodeKind")))
+        if faults:
+            wrong = values.select(*key, "value", "o_kind", "o_dt", F.explode(F.array(*faults)).alias("x")).where("x is not null").distinct()
+            wrong = wrong.join(focus.select(*key), key, "left_semi")
+            out.append(wrong.select(*self.parts, "focus", F.lit(shape.iri).cast("string").alias("shape"), "x.path", "x.component", "x.severity", "value", "x.message"))
+        for p in shape.properties:
             if p.class_:
-                out.append(self._result(self._outside(own, p.class_), shape, "class", p.severity, p.message, p.path, F.col("value")))
+                own = values.where(F.col("p") == p.path).distinct()
+                out.append(self._result(self._outside(own, p.class_).join(focus.select(*key), key, "left_semi"), shape, "class", p.severity, p.message, p.path, F.col("value")))
         for q in shape.queries:
             out.append(self._result(self._solutions(focus, q.query), shape, "sparql", q.severity, q.message, value=F.col("focus")))
         return out
@@ -113,9 +123,11 @@ class Validator:
         What a NOT EXISTS asks for may be in the part or, as a whole, in the ontology.
         """
         tag = lambda c: F.concat_ws("\u0000", *[F.col(p).cast("string") for p in self.parts], c) if self.parts else c
-        iris = focus.where("focus_kind = 'iri'")
-        quads = self.quads.withColumn("o", F.when((F.col("o_kind") == "iri") & F.col("p").isin(sorted(_joined(query.where))), tag(F.col("o"))).otherwise(F.col("o"))).withColumn("s", tag(F.col("s")))
-        found = bgp.select(quads, query, iris.select(tag(F.col("focus")).alias("s"))).select(F.col("this").alias("s")).distinct()
+        nodes = focus.where("focus_kind <> 'literal'")
+        joined = (F.col("o_kind") != "literal") & F.col("p").isin(sorted(_joined(query.where))) & F.lit(bool(self.parts))
+        # a tagged term no longer shows that it is a blank node, as subject or as object
+        quads = self.quads.withColumns({"s": tag(F.col("s")), "o": F.when(joined, tag(F.col("o"))).otherwise(F.col("o")), "o_kind": F.when(joined, "iri").otherwise(F.col("o_kind"))})
+        found = bgp.select(quads, query, nodes.select(tag(F.col("focus")).alias("s"))).select(F.col("this").alias("s")).distinct()
         out = focus.withColumn("s", tag(F.col("focus"))).join(found, "s", "left_semi").drop("s")
         for group in query.where.absent:
             facts = [(s, p, o, "iri", None) for s, p, o in self.ontology if p in _predicates(group)]
@@ -146,11 +158,11 @@ def _joined(group) -> set[str]:
 
 
 def report_lines(results: DataFrame) -> DataFrame:
-    """A Turtle statement for each result, for a text sink; what is null in a result isn't said."""
+    """A Turtle statement for each result, for a text sink; what is null in a result, or an empty message, isn't said."""
     iri = lambda c: F.concat(F.lit("<"), F.col(c), F.lit(">"))
     text = lambda c: F.concat(F.lit('"'), escape(F.col(c)), F.lit('"'))
     component = F.when(F.col("component") == "sparql", "SPARQL").otherwise(F.concat(F.upper(F.substring("component", 1, 1)), F.substring("component", 2, 100)))
-    said = [("focusNode", iri("focus")), ("sourceShape", iri("shape")), ("resultPath", iri("path")), ("sourceConstraintComponent", F.concat(F.lit(f"<{SH}"), component, F.lit("ConstraintComponent>"))), ("resultSeverity", F.concat(F.lit(f"<{SH}"), F.col("severity"), F.lit(">"))), ("value", text("value")), ("resultMessage", text("message"))]
+    said = [("focusNode", iri("focus")), ("sourceShape", iri("shape")), ("resultPath", iri("path")), ("sourceConstraintComponent", F.concat(F.lit(f"<{SH}"), component, F.lit("ConstraintComponent>"))), ("resultSeverity", F.concat(F.lit(f"<{SH}"), F.col("severity"), F.lit(">"))), ("value", text("value")), ("resultMessage", F.when(F.col("message") != "", text("message")))]
     body = F.concat_ws(" ; ", F.lit(f"[] a <{SH}ValidationResult>"), *[F.concat(F.lit(f"<{SH}{p}> "), c) for p, c in said])
     return results.select(F.concat(body, F.lit(" .")).alias("line"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import ZONES
 from ..operators import lineage, shacl
-from ..operators.mapping import map_rows
+from ..operators.mapping import losses, map_rows
 from ..operators.quads import in_scan_order, part_of, part_stats
 from ..sources import fingerprint, nquads, tsv
 from ..sources.registry import SOURCES, Source, discover
@@ -148,7 +148,7 @@ class Run:
             quads.write.mode("overwrite").partitionBy("part_index").parquet(str(work / "quads"))
             stored = self.read(t, "work")
             parts = [r.asDict() for r in part_stats(rows, stored).orderBy("part_index").collect()]
-            stats = key | {"parts": parts, "total_rows": sum(p["rows"] for p in parts), "total_triples": sum(p["triples"] for p in parts)}
+            stats = key | {"parts": parts, "total_rows": sum(p["rows"] for p in parts), "total_triples": sum(p["triples"] for p in parts), "left_out": losses(rows, self._mapping(t))}
             _json(work / "chunks.json", stats)
             self.record(f"40-materialize-{t.name}", self.entity("raw", t.file), self.graph_iri(t, "work"), t.version, began, stats["total_rows"], PIPELINE + "NamedGraph")
             out.append(stats | {"transform_id": t.name, "skipped": False})
@@ -171,7 +171,8 @@ class Run:
         ontology, out = vocabulary.ontology_triples(), []
         for t in take(self.steps, only):
             began, shapes = datetime.now(UTC), self.bindings.shapes(t.name)
-            parts = _load(self.quads_dir(t, "work") / "chunks.json").get("parts", [])
+            made = _load(self.quads_dir(t, "work") / "chunks.json")
+            parts = made.get("parts", [])
             gated, results, quads = [], None, None
             if parts:
                 quads = self.read(t, "work").cache()
@@ -192,7 +193,7 @@ class Run:
                     self.record(f"50-validate-{t.name}" + ("" if zone == "asserted" else "-quarantine"), self.graph_iri(t, "work"), self.graph_iri(t, zone), f"validate-{t.name}@v1", began, sum(triples[m]["triples"] for m in members), PIPELINE + "NamedGraph")
             n, good = len(gated), len(ok)
             word = "skipped-no-parts" if not n else ("passed" if shapes else "passed-no-shapes") if good == n else "failed" if not good else "failed-partial"
-            report = {"transform_id": t.name, "graph_iri": self.graph_iri(t), "status": word, "engine": "lattica", "validated_at": datetime.now(UTC).isoformat(), "parts_total": n, "parts_conformant": good, "parts_quarantined": n - good, "violations": sum(g["violations"] for g in gated), "warnings": sum(g["warnings"] for g in gated), "shapes": self.bindings.names(t.name), "parts": gated}
+            report = {"transform_id": t.name, "graph_iri": self.graph_iri(t), "status": word, "engine": "lattica", "validated_at": datetime.now(UTC).isoformat(), "parts_total": n, "parts_conformant": good, "parts_quarantined": n - good, "violations": sum(g["violations"] for g in gated), "warnings": sum(g["warnings"] for g in gated), "left_out": made.get("left_out", {}), "shapes": self.bindings.names(t.name), "parts": gated}
             folder = self.quads_dir(t, "reports")
             _json(folder / "validation.json", report)
             if results is not None and (n > good or report["warnings"]):

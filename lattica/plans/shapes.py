@@ -56,7 +56,7 @@ def read(text: str) -> list[Shape]:
         return found[0][1] if found else default
 
     severity = lambda node: (one(node, "severity") or SH + "Violation").removeprefix(SH)
-    kind = lambda node: {SH + "IRI": "iri", SH + "Literal": "literal", None: None}[one(node, "nodeKind")]
+    kind = lambda node: {SH + "IRI": "iri", SH + "BlankNode": "blank", SH + "Literal": "literal", None: None}[one(node, "nodeKind")]
     out = []
     for node, facts in about.items():
         if ("iri", SH + "NodeShape") not in facts.get(RDF + "type", []):

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from . import retail as r
 from .functions import terms, text
 from .operators import bgp, lineage, rules, shacl
+from .operators.mapping import map_rows
 from .operators.quads import distinct_quads, part_of, part_stats, totals, union_graphs, with_ordinal, with_predicate
 from .plans import scope, shapes, sparql
 from .plans.shapes import PropertyShape, QueryConstraint, Shape
-from .plans.vocabulary import PIPELINE, PROV, RDF, SKOS, XSD
+from .plans.vocabulary import PIPELINE, PROV, RDF, RDFS, SH, SKOS, XSD
 from .retail import NS, VOCAB, N, Tables
 from .sources import fingerprint, nquads, tsv
 from .sources.registry import DIALECT
@@ -38,7 +39,11 @@ def _shared_dir(t: Tables) -> str:
     import tempfile
     import uuid
 
-    base = t.spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="lattica-")
+    base = t.spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lattica-")
     return f"{base.rstrip('/')}/lattica-io/{uuid.uuid4().hex}"
 
 
@@ -77,9 +82,25 @@ def batch_fingerprint(t: Tables) -> DataFrame:
     return fingerprint.combine(t.region.select(F.col("r_name").alias("name"), F.sha2(F.concat_ws("|", "r_regionkey", "r_name"), 256).alias("hash")))
 
 
-@query(f"select '{N}doc/' || doc_id as s, '{NS}alias' as p, text as o, 'literal' as o_kind, '{XSD}string' as o_dt, '{r.GRAPH}alias' as g, true as ok from documents where text is not null and trim(text) not in ('', '\\N')")
+_NATION = f"'{N}nation/' || n_nationkey"
+_FOREIGN = "select null as s, null as p, null as o, null as o_kind, null as o_dt, null as g, false as ok from nation"
+
+
+@query(
+    f"select '{N}doc/' || doc_id as s, '{NS}alias' as p, text as o, 'literal' as o_kind, '{XSD}string' as o_dt, '{r.GRAPH}alias' as g, true as ok from documents where text is not null and trim(text) not in ('', '\\N') union all "
+    f"select {_NATION}, '{NS}label', chr(233) || chr(128512) || chr(9) || '\\u00e9' || n_name, 'literal', '@en-gb', null, true from nation union all "
+    f"select '_:n' || n_nationkey, '{NS}near', '_:r' || n_regionkey, 'blank', null, '{r.GRAPH}alias', true from nation union all {_FOREIGN} union all {_FOREIGN}"
+)
 def nquad_parse(t: Tables) -> DataFrame:
-    return nquads.parse(nquads.render(t.quads("alias")), "line")
+    """The engine's own lines, and such as others write: languages, numbered characters, blank nodes, no graph; half a surrogate pair and a literal subject can't be read."""
+    name, key = F.col("n_name"), F.col("n_nationkey")
+    foreign = [
+        F.concat(F.lit(f"<{N}nation/"), key, F.lit(f'> <{NS}label> "\\u00e9\\uD83D\\uDE00\\t\\\\u00e9'), name, F.lit('"@en-GB . # said')),
+        F.concat(F.lit("_:n"), key, F.lit(f" <{NS}near> _:r"), F.col("n_regionkey"), F.lit(f" <{r.GRAPH}alias> .")),
+        F.concat(F.lit(f'<{N}x> <{NS}label> "\\uD83D'), name, F.lit('" .')),
+        F.concat(F.lit('"'), name, F.lit(f'" <{NS}label> <{N}x> .')),
+    ]
+    return nquads.parse(nquads.render(t.quads("alias")).unionByName(t.nation.select(F.explode(F.array(*foreign)).alias("line"))), "line")
 
 
 _ALL = "('name-basics', 'name.basics.tsv.gz'), ('title-akas', 'title.akas.tsv.gz'), ('title-basics', 'title.basics.tsv.gz'), ('title-episode', 'title.episode.tsv.gz'), ('title-ratings', 'title.ratings.tsv.gz')"
@@ -227,8 +248,6 @@ def chunk_assign(t: Tables) -> DataFrame:
 
 
 def _part_quads(t: Tables) -> tuple[DataFrame, DataFrame]:
-    from .operators.mapping import map_rows
-
     # only some parts have quads: an expensive order in the upper half of the keys' remainders
     rows = _parts(t).withColumn("year", F.when((F.col("part_index") % 3 != 0) & (F.col("o_totalprice") > 200000), F.year("o_orderdate")))
     return rows, map_rows(rows, r.WIDE, r.GRAPH + "wide", "part_index").where(F.col("p") == NS + "year")
@@ -373,8 +392,6 @@ def shacl_not_exists(t: Tables) -> DataFrame:
 
 def _checked(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Parts of the orders, and results in which few parts are whole: dear orders of 1995 violate, cheap ones of the first parts warn."""
-    from .operators.mapping import map_rows
-
     rows = _parts(t).withColumn("year", F.year("o_orderdate"))
     rows = rows.withColumns({"o_orderpriority": F.when((F.col("o_orderkey") % 1700 == 3), F.lit(None)).otherwise(F.col("o_orderpriority")), "year": F.when(F.col("o_orderkey") % 2900 == 7, F.lit(12)).otherwise(F.col("year"))})
     quads = map_rows(rows, r.WIDE, r.GRAPH + "wide", "part_index")
@@ -417,6 +434,30 @@ def validation_report(t: Tables) -> DataFrame:
     return _checked(t)[1].select("part_index", "focus", "component", "severity", "path")
 
 
+@query(f"select '{N}order/' || o_orderkey as focus, case when o_orderkey % 2900 = 7 then 'a year has four digits' end as message from orders where o_orderkey % 2900 = 7 or o_orderkey % 1700 = 3")
+def shacl_message(t: Tables) -> DataFrame:
+    """A property's message where it has one, else none."""
+    rows = t.rows("wide").withColumns({"o_orderpriority": F.when(F.col("o_orderkey") % 1700 == 3, F.lit(None)).otherwise(F.col("o_orderpriority")), "year": F.when(F.col("o_orderkey") % 2900 == 7, F.lit(12)).otherwise(F.year("o_orderdate"))})
+    shape = _order_shape(PropertyShape(NS + "priority", 1), PropertyShape(NS + "year", datatype=XSD + "gYear", message="a year has four digits"))
+    return _validator(map_rows(rows, r.WIDE, r.GRAPH + "wide")).results([shape]).select("focus", F.nullif("message", F.lit("")).alias("message"))
+
+
+_LINE = f"'[] a <{SH}ValidationResult> ; <{SH}focusNode> <' || focus || '> ; <{SH}sourceShape> <{NS}OrderShape> ; <{SH}resultPath> <' || path || '> ; <{SH}sourceConstraintComponent> <{SH}' || upper(component[1]) || component[2:] || 'ConstraintComponent> ; <{SH}resultSeverity> <{SH}' || severity || '>'"
+
+
+@query(f"select {_LINE} || case component when 'datatype' then ' ; <{SH}value> \"12\"' else '' end || ' .' as line from ({ORACLES['validation_report']})")
+def report_turtle(t: Tables) -> DataFrame:
+    return shacl.report_lines(_checked(t)[1])
+
+
+@query(ORACLES["map_child"])
+def nquads_files(t: Tables) -> DataFrame:
+    """Quads written as text, in a folder a predicate, and read again."""
+    path = _shared_dir(t)
+    nquads.write(t.quads("child").withColumn("part", F.substring_index("p", "#", -1)), path, "part")
+    return nquads.read(t.spark, path, shared_labels=True).select("s", "p", "o", "o_kind")
+
+
 # ---- rules and closures
 
 _RULE = f"""<{NS}PriceyRule> a sh:NodeShape ; sh:targetClass <{NS}Part> ; sh:rule [ a sh:SPARQLRule ;
@@ -451,6 +492,13 @@ def rule_crossover(t: Tables) -> DataFrame:
     return rules.at_least(t.quads("sold"), NS + "soldIn", 8, RDF + "type", NS + "BigOrder", r.GRAPH + "inferred").select("s", "o")
 
 
+@query(f"select distinct '{N}lineitem/' || line_id as s, '{NS}Line' as o from {_CHILD} union select '{N}order/' || l_orderkey, '{NS}Order' from lineitem")
+def domain_range(t: Tables) -> DataFrame:
+    """Numbers have a range too, which types no literal."""
+    ontology = [(NS + "partOf", RDFS + "domain", NS + "Line"), (NS + "partOf", RDFS + "range", NS + "Order"), (NS + "quantity", RDFS + "domain", NS + "Line"), (NS + "quantity", RDFS + "range", NS + "Amount")]
+    return rules.typed_by_ends(t.quads("child"), ontology, r.GRAPH + "inferred").select("s", "o")
+
+
 @query("select n_name as sub, r_name as sup from nation join region on n_regionkey = r_regionkey union all select n_name, 'WORLD' from nation union all select r_name, 'WORLD' from region")
 def subclass_closure(t: Tables) -> DataFrame:
     edges = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("sub"), F.col("r_name").alias("sup")).unionByName(t.region.select(F.col("r_name").alias("sub"), F.lit("WORLD").alias("sup")))

@@ -9,15 +9,26 @@ from ..functions.text import nquad_line, parse_nquad
 
 
 def parse(lines: DataFrame, column: str = "value", *keep: str) -> DataFrame:
-    """Quads of a table of lines, with ``ok`` false for a line that can't be read; blank lines and comments go."""
-    parts = parse_nquad(F.col(column))
-    return lines.select(*[c.alias(n) for n, c in parts.items()], *keep).where("s is not null or not ok")
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Quads of files, with the file each comes from."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
-    return parse(lines, "value", "file")
+    """Quads of a table of lines, with ``ok`` false for a line that can't be read; blank lines and comments go.
+
+    An explode, as a filter on parsed columns would be pushed below the parsing and parse each line again.
+    """
+    # outer: what an inner explode infers about its array would evaluate it once more
+    return lines.select(*keep, F.explode_outer(parse_nquad(F.col(column))).alias("q")).where("q is not null").select("q.*", *keep)
+
+
+def read(spark: SparkSession, path: str, shared_labels: bool = False) -> DataFrame:
+    """Quads of files, with the file each comes from.
+
+    A blank node's label holds within its file, so labels of different files are
+    told apart by the file's path; ``shared_labels`` keeps them, for the parts of one document.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"))
+    quads = parse(lines, "value", "file", "path")
+    if not shared_labels:
+        own = lambda c: F.when(F.col(c).startswith("_:"), F.concat(F.lit("_:f"), F.substring(F.sha2("path", 256), 1, 24), F.lit("."), F.substring(c, 3, 1 << 30))).otherwise(F.col(c))
+        quads = quads.withColumns({"s": own("s"), "g": own("g"), "o": F.when(F.col("o_kind") == "blank", own("o")).otherwise(F.col("o"))})
+    return quads.drop("path")
 
 
 def render(quads: DataFrame, *keep: str) -> DataFrame:

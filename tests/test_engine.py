@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lattica.functions import terms, text
 from lattica.operators import bgp, lineage, rules, shacl
-from lattica.operators.mapping import dropped, map_rows, rejected_types
+from lattica.operators.mapping import dropped, losses, map_rows, rejected_types
 from lattica.operators.quads import QUAD, distinct_quads, in_scan_order, part_of, part_stats, with_ordinal
 from lattica.plans import scope, shapes, sparql, templates, turtle
 from lattica.plans import vocabulary as v
@@ -70,6 +70,54 @@ def test_nquads_round_trip(spark):
     assert [(r["ok"], r["o"]) for r in nquads.parse(lines).collect()] == [(False, None), (True, "c"), (True, "c"), (False, None)]
 
 
+def test_nquads_of_others(spark):
+    """Languages, numbered characters, blank nodes, the default graph; what the standard forbids can't be read."""
+    good = {
+        r'<http://a> <http://p> "caf\u00e9 \U0001F600 \uD83D\uDE00 \\u00e9 \t\b\f\'\"" <http://g> .': ("http://a", 'café 😀 😀 \\u00e9 \t\b\f\'"', "literal", v.XSD + "string", "http://g"),
+        '<http://a> <http://p> "x"@EN-gb .': ("http://a", "x", "literal", "@en-gb", None),
+        "_:b1 <http://p> _:c.d _:g . # note": ("_:b1", "_:c.d", "blank", None, "_:g"),
+        r"<http://a\u00e9><http://p><http://\u00e9x>.": ("http://aé", "http://éx", "iri", None, None),
+        '<http://a> <http://p> "1"^^<http://dt> <http://g> .\r\n': ("http://a", "1", "literal", "http://dt", "http://g"),
+        '<http://a> <http://p> "" .': ("http://a", "", "literal", v.XSD + "string", None),
+    }
+    bad = [r'<http://a> <http://p> "\uD83D" .', r'<http://a> <http://p> "\x" .', r'<http://a> <http://p> "\U00110000" .', '<http://a> <http://p> "a\nb" .', '"l" <http://p> <http://o> .', "<http://a> _:p <http://o> .", r"<http://a\x> <http://p> <http://o> .", "\n\n\nx" + "\n" * 6]
+    lines = frame(spark, ["value"], *[(x,) for x in [*good, *bad, "", "# c", " \t", None]])
+    got = nquads.parse(lines).collect()
+    assert sorted(map(str, ((r["s"], r["o"], r["o_kind"], r["o_dt"], r["g"]) for r in got if r["ok"]))) == sorted(map(str, good.values()))
+    wrong = [r for r in got if not r["ok"]]
+    assert len(wrong) == len(bad) and all(x is None for r in wrong for x in r[:6])
+    kept = nquads.parse(lines).where("ok")
+    again = nquads.parse(nquads.render(kept), "line")
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
+
+
+def test_blank_nodes_of_two_files(spark, tmp_path):
+    for name in ("a.nq", "b.nq"):
+        (tmp_path / name).write_text("_:x <http://p> _:y .\n_:y <http://p> <http://o> .\n", encoding="utf-8")
+    apart = nquads.read(spark, str(tmp_path))
+    assert apart.select("s").distinct().count() == 4 and apart.where("o_kind = 'blank'").select("o").join(apart.select(F.col("s").alias("o")), "o").count() == 2
+    assert nquads.read(spark, str(tmp_path), shared_labels=True).select("s").distinct().count() == 2
+
+
+def test_blank_nodes_in_shapes(spark):
+    iri = lambda s, p, o, kind="iri", part=0: (s, p, o, kind, None, "g", part)
+    year = lambda s, y, part=0: (s, "u:year", y, "literal", v.XSD + "gYear", "g", part)
+    rows = [iri("_:e", v.RDF + "type", "u:E"), iri("_:e", "u:of", "_:t", "blank"), year("_:e", "1990"), year("_:t", "2000"), iri("u:f", v.RDF + "type", "u:E"), iri("u:f", "u:of", "_:t", "blank"), year("u:f", "2010")]
+    quads = spark.createDataFrame(rows, QUAD + ", part_index int")
+    shape = shapes.Shape("u:S", ("class", "u:E"), (shapes.PropertyShape("u:of", node_kind="iri"),), (shapes.QueryConstraint(sparql.parse("SELECT $this WHERE { $this <u:of> ?t ; <u:year> ?a . ?t <u:year> ?b . FILTER (?a < ?b) }")),))
+    for parts in (("part_index",), ()):
+        found = {(r["focus"], r["component"]) for r in shacl.Validator(quads, [], parts).results([shape]).collect()}
+        assert found == {("_:e", "nodeKind"), ("u:f", "nodeKind"), ("_:e", "sparql")}
+
+
+def test_types_from_domains_and_ranges(spark):
+    ontology = [("u:p", v.RDFS + "domain", "u:D"), ("u:p", v.RDFS + "domain", "u:D2"), ("u:p", v.RDFS + "range", "u:R"), ("u:q", v.RDFS + "range", "u:N")]
+    rows = [("a", "u:p", "b", "iri", None, "g"), ("a", "u:p", "b", "iri", None, "g2"), ("a", "u:p", "b", "literal", "t", "g"), ("a", "u:q", "1", "literal", "t", "g"), ("a", "u:z", "c", "iri", None, "g"), (None, "u:z", None, None, None, None)]
+    quads = spark.createDataFrame(rows, QUAD)
+    assert {(r["s"], r["o"]) for r in rules.typed_by_ends(quads, ontology, "i").collect()} == {("a", "u:D"), ("a", "u:D2"), ("b", "u:R")}
+    assert rules.typed_by_ends(quads, [], "i").count() == 0 and rules.typed_by_ends(quads.where("false"), ontology, "i").count() == 0
+
+
 def test_ratings_and_rule(spark):
     quads = mapped(spark, "title-ratings", ("tt1", "8.4", "1500"), ("tt2", "8.4", "999"), ("tt3", "7.9", "5000"), ("tt4", "8.0", "1000"))
     assert quads.count() == 8
@@ -87,6 +135,7 @@ def test_missing_rating(spark):
     assert mapped(spark, "title-ratings", *rows).count() == 2
     counts = dropped(frame(spark, registry.COLUMNS["title.ratings.tsv.gz"], *rows), builtin("title-ratings"))
     assert {r["field"]: r["dropped_null"] for r in counts.collect()} == {"averageRating": 2, "numVotes": 0}
+    assert losses(frame(spark, registry.COLUMNS["title.ratings.tsv.gz"], *rows), builtin("title-ratings"))["dropped_null"] == {"averageRating": 2, "numVotes": 0}
     with pytest.raises(Exception, match="isn't set"):
         mapped(spark, "title-ratings", *rows, strict=True).collect()
 
@@ -117,6 +166,7 @@ def test_unknown_type_and_genre(spark):
     with pytest.raises(Exception, match="unknown type"):
         mapped(spark, "title-basics", row, strict=True).collect()
     assert rejected_types(frame(spark, registry.COLUMNS["title.basics.tsv.gz"], row), builtin("title-basics")).count() == 1
+    assert losses(frame(spark, registry.COLUMNS["title.basics.tsv.gz"], row), builtin("title-basics"))["unknown_type"] == {"titleType": 1}
     results = shacl.Validator(mapped(spark, "title-basics", row), v.ontology_triples()).results(shapes.BINDINGS.shapes("title-basics"))
     assert sorted((r["component"], r["severity"]) for r in results.collect()) == [("class", "Violation"), ("class", "Warning"), ("sparql", "Violation")]
 
