@@ -44,5 +44,5 @@ def write(quads: DataFrame, path: str, *partitions: str) -> None:
 
 
 def write_table(quads: DataFrame, path: str) -> None:
-    """The canonical store: Parquet by zone and source, clustered by predicate and subject so that pattern scans skip row groups."""
-    (quads.repartition("zone", "tsv_stem", "p").sortWithinPartitions("zone", "tsv_stem", "p", "s").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("zone", "tsv_stem").parquet(path))
+    """The canonical store: Parquet by zone and source, clustered by predicate and subject so that pattern scans skip row groups. Ranges of both, so a frequent predicate is many tasks and files."""
+    (quads.repartitionByRange("zone", "tsv_stem", "p", "s").sortWithinPartitions("zone", "tsv_stem", "p", "s").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("zone", "tsv_stem").parquet(path))

@@ -99,6 +99,19 @@ def test_blank_nodes_of_two_files(spark, tmp_path):
     assert nquads.read(spark, str(tmp_path), shared_labels=True).select("s").distinct().count() == 2
 
 
+def test_store(spark, tmp_path):
+    """A frequent predicate is spread, and what was written is read."""
+    rows = spark.range(4000).selectExpr("concat('u:', id) s", "if(id % 10 = 0, 'u:q', 'u:p') p", "'o' o", "'iri' o_kind", "cast(null as string) o_dt", "'g' g", "'asserted' zone", "'a' tsv_stem")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table is else one file
+    try:
+        nquads.write_table(rows, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(str(tmp_path))
+    assert back.count() == 4000 and back.exceptAll(rows.select(*back.columns)).count() == 0
+    assert back.where("p = 'u:p'").select(F.input_file_name()).distinct().count() > 1
+
+
 def test_blank_nodes_in_shapes(spark):
     iri = lambda s, p, o, kind="iri", part=0: (s, p, o, kind, None, "g", part)
     year = lambda s, y, part=0: (s, "u:year", y, "literal", v.XSD + "gYear", "g", part)
