@@ -98,6 +98,27 @@ class StageTables:
         files.delete(p, True)
 
 
+#: Bits a hash, and bits of the whole, that ``hinted`` may take; a table of more hashes lets more rows pass for nothing.
+HINT_BITS, HINT_MOST = 32, 1 << 28
+_MAP = 1 << 15  # bits of a bitmap that Spark builds
+
+
+def hinted(df: DataFrame, column: str, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose ``column`` may be among ``hashes`` (one column of 64-bit hashes, none null), and rows whose isn't.
+
+    A bitmap tells, which is broadcast: few bits a hash and never above ``HINT_MOST``. What is then joined is the first part, so rows of long texts that have no partner stay where they are, whatever the size of either table.
+    """
+    n = hashes.count()
+    maps = 1 << max(0, min(HINT_MOST, n * HINT_BITS) // _MAP).bit_length()
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(maps * _MAP)) + 1
+    bits = hashes.toDF("_h").select(at(F.col("_h")).alias("_h")).groupBy(F.bitmap_bucket_number("_h").alias("_map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bits"))
+    place = F.bitmap_bit_position(at(F.col(column)))
+    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    told = df.join(F.broadcast(bits), F.bitmap_bucket_number(at(F.col(column))) == F.col("_map"), "left")
+    found = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return told.where(found).select(*df.columns), told.where(~found).select(*df.columns)
+
+
 def row_hash(df: DataFrame) -> Column:
     """Of all columns, nulls included: equal rows have equal hashes."""
     columns = [F.col(f"`{c}`") for c in df.columns]
@@ -118,7 +139,8 @@ def first_rows(docs: DataFrame, grouped: DataFrame, stages: StageTables, id_col:
     stages.drop(rows)
     own = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("_id"), row_hash(docs).alias("_row"))
     is_one_of = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row"))
-    left = own.join(gone, is_one_of, "left_anti")
+    perhaps, stay = hinted(own, "_row", gone.select("row"))
+    left = perhaps.join(gone, is_one_of, "left_anti").unionByName(stay)
     if not twice.isEmpty():
         left = left.join(twice, is_one_of, "left_anti").unionByName(left.join(twice, is_one_of, "left_semi").dropDuplicates(["_id", "_row"]))
     return left.select("doc.*")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import StageTables, partitions
+from .common import StageTables, hinted, partitions
 from .components import whole_groups
 
 #: The order is learnt from a hundredth of the documents, or from so many if that is more; a shingle counts as frequent from OFTEN on, MOST of them at most.
@@ -82,7 +82,7 @@ def hub_pairs(crowds: DataFrame, joined: DataFrame | None, turn: int, least: Fra
     return both.mapInArrow(lambda it: _plausible(it, least), "a binary, b binary").distinct()
 
 
-def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent(texts: DataFrame, stages: StageTables, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that a sample of documents repeats, ascending, and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,18 +91,19 @@ def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.int64)]))], ["token"])
 
     part = texts.select("text").sample(min(1.0, max(0.01, SAMPLE / max(1, texts.count()))), seed=42)
-    rows = part.mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(MOST).collect()
-    rows.sort()
+    repeated = stages.put(part.mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= OFTEN))
+    rows = sorted(repeated.orderBy(F.desc("count"), "token").limit(MOST).collect())
+    stages.drop(repeated)
     return np.array([r["token"] for r in rows], np.int64), np.array([r["count"] for r in rows], np.int64)
 
 
-def candidates(texts: DataFrame, known: DataFrame, size: int, least: Fraction) -> DataFrame:
+def candidates(texts: DataFrame, known: DataFrame, stages: StageTables, size: int, least: Fraction) -> DataFrame:
     """Pairs (a, b) of set names, each once, with every pair among them that is similar enough and not of one group.
 
     ``texts``: (row, text). ``known``: (row, group) for rows that are joined up with others already; a null group marks a copy, which is passed over.
     """
     p, q = least.numerator, least.denominator
-    often, count = _frequent(texts, size)
+    often, count = _frequent(texts, stages, size)
 
     def ordered(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A set in the common order, and which of it are frequent."""
@@ -180,8 +181,9 @@ def candidates(texts: DataFrame, known: DataFrame, size: int, least: Fraction) -
             if some:
                 yield out(some)
 
-    # by its columns' names, for ``known`` may be large or small: where it is small no text is moved
-    rows = texts.join(known.withColumn("known", F.lit(True)), "row", "left").where("known is null or group is not null").select("row", "text", "group")
+    perhaps, alone = hinted(texts, "row", known.select("row"))
+    listed = perhaps.join(known.withColumn("known", F.lit(True)), "row", "left").where("known is null or group is not null").select("row", "text", "group")
+    rows = listed.unionByName(alone.withColumn("group", F.lit(None).cast("binary")))
     cells = rows.mapInArrow(prefixes, "token long, n int, rest int, key binary, group binary, counts binary")
     return cells.repartition(partitions(texts.sparkSession), "token").sortWithinPartitions("token", "n").mapInArrow(pairs, "a binary, b binary").distinct()
 
@@ -244,7 +246,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, keys: DataFrame, stages: Stage
     left = stages.put(pairs)
     ends = left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
     rows = stages.put(keys.select("key", "row").join(ends, "key", "left_semi"))
-    members = stages.put(texts.join(rows, "row").select("key", "text").mapInArrow(run, "key binary, hashes binary"))
+    members = stages.put(hinted(texts, "row", rows.select("row"))[0].join(rows, "row").select("key", "text").mapInArrow(run, "key binary, hashes binary"))
     if members.count() > rows.count():  # rows that are the same in every column
         members = stages.put(members.groupBy("key").agg(F.first("hashes").alias("hashes")))
     side = lambda k, v: members.select(F.col("key").alias(k), F.col("hashes").alias(v)).hint("merge")  # noqa: E731  sets are of no bounded size

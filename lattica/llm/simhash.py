@@ -209,7 +209,7 @@ def similar_groups(docs: DataFrame, stages: StageTables, id_col: str = "doc_id",
     # found by prefix filtering: pairs that are still apart
     copies = marks.select("row", "key").distinct().join(keys.select("key", F.col("row").alias("rep")), "key").where("row <> rep").select("row", F.lit(None).cast("binary").alias("group"))
     known = stages.put(copies.unionByName(keys.join(joined, F.col("key") == F.col("node")).select("row", F.col("component").alias("group"))))
-    apart = stages.put(shingles.candidates(texts, known, size, least))
+    apart = stages.put(shingles.candidates(texts, known, stages, size, least))
     stages.drop(crowds)
     more = shingles.confirmed(shingles.plausible(apart, keys, least), texts, keys, stages, size, least)
     group = components(sure.unionByName(more), stages)

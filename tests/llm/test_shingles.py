@@ -5,10 +5,11 @@ import random
 import corpus_pipeline
 import numpy as np
 from fixtures import DOC_SCHEMA, PROSE, odd_frame, with_clashes
+from pyspark.sql import functions as F
 from test_dedup import roots
 
 from lattica.llm import shingles, simhash
-from lattica.llm.common import StageTables
+from lattica.llm.common import StageTables, first_rows, hinted, row_hash
 
 
 def plain_set(text, size=5):
@@ -120,3 +121,35 @@ def test_counts_are_a_lower_bound():
         c, d = (np.frombuffer(shingles.coarse(s), np.uint8) for s in (x, y))
         away = [(u - v) & 15 for u, v in ((c & 15, d & 15), (c >> 4, d >> 4))]
         assert sum(np.minimum(w, 16 - w).sum() for w in away) <= far
+
+
+def shuffled_bytes(spark):
+    sc, jvm, gateway = spark.sparkContext, spark.sparkContext._jvm, spark.sparkContext._gateway
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_without_a_partner_are_not_moved(spark):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)), "en", "s", 0) for i in range(100)], DOC_SCHEMA)
+    stages = StageTables(spark)
+    docs = stages.put(docs)
+    ids = F.when(F.col("doc_id") == 99, 98).otherwise(F.col("doc_id"))
+    grouped = stages.put(docs.select(F.col("doc_id").alias("id"), row_hash(docs).alias("row"), ids.alias("group")))
+    limit, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), shuffled_bytes(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as tables of any size
+    try:
+        kept = stages.put(first_rows(docs, grouped, stages))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(99))
+    assert shuffled_bytes(spark) - before < 300_000  # of 2 MB of text
+
+
+def test_a_hint_loses_no_row(spark):
+    rows = spark.range(5000).select("id", F.xxhash64("id").alias("row"))
+    perhaps, stay = hinted(rows, "row", rows.where("id % 9 = 0").select("row"))
+    assert perhaps.columns == stay.columns == rows.columns
+    assert perhaps.count() + stay.count() == 5000 and stay.where("id % 9 = 0").isEmpty() and perhaps.count() < 1000
+    assert [x.count() for x in hinted(rows, "row", rows.limit(0).select("row"))] == [0, 5000]
