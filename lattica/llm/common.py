@@ -100,7 +100,7 @@ class StageTables:
 
 #: Bits a hash, and bits of the whole, that ``hinted`` may take; a table of more hashes lets more rows pass for nothing.
 HINT_BITS, HINT_MOST = 32, 1 << 28
-_MAP = 1 << 15  # bits of a bitmap that Spark builds
+_MAP, _PART = 1 << 15, 1 << 10  # bits of a bitmap that Spark builds, and of the parts that are looked up: a row's lookup copies one
 
 
 def hinted(df: DataFrame, column: str, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,12 +110,14 @@ def hinted(df: DataFrame, column: str, hashes: DataFrame) -> tuple[DataFrame, Da
     """
     n = hashes.count()
     maps = 1 << max(0, min(HINT_MOST, n * HINT_BITS) // _MAP).bit_length()
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(maps * _MAP)) + 1
-    bits = hashes.toDF("_h").select(at(F.col("_h")).alias("_h")).groupBy(F.bitmap_bucket_number("_h").alias("_map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bits"))
-    place = F.bitmap_bit_position(at(F.col(column)))
-    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    told = df.join(F.broadcast(bits), F.bitmap_bucket_number(at(F.col(column))) == F.col("_map"), "left")
-    found = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(maps * _MAP))
+    built = hashes.toDF("_h").select((at(F.col("_h")) + 1).alias("_h")).groupBy(F.bitmap_bucket_number("_h").alias("_map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_all"))
+    parts = built.select("_map", "_all", F.explode(F.sequence(F.lit(0), F.lit(_MAP // _PART - 1))).alias("_k"))
+    bits = parts.select(((F.col("_map") - 1) * (_MAP // _PART) + F.col("_k")).alias("_part"), F.substring("_all", F.col("_k") * (_PART // 8) + 1, F.lit(_PART // 8)).alias("_bits"))
+    place = F.pmod(at(F.col(column)), F.lit(_PART)).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    told = df.join(F.broadcast(bits), F.shiftright(at(F.col(column)), _PART.bit_length() - 1) == F.col("_part"), "left")
+    found = F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False))
     return told.where(found).select(*df.columns), told.where(~found).select(*df.columns)
 
 

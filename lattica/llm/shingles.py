@@ -5,8 +5,8 @@ in a row (64-bit hashes) is ``least`` or more. Prefix filtering loses no such
 pair: with every set in one fixed order, similar sets share an element among
 their first n - ceil(least * n) + 1, so each set goes to a cell for each of
 those; sizes and places left rule out most pairs of a cell, and the rest are
-first held against the sets' counts by segment, whose Manhattan distance is a
-lower bound, and then settled on the whole sets. The order puts shingles that a sample finds in many
+first held against the sets' parities (in large cells) and counts by segment,
+whose distances are lower bounds, and then settled on the whole sets. The order puts shingles that a sample finds in many
 documents last, so that boilerplate makes no cells; any order gives the same
 links. Sets are made from the texts where they are needed and never stored,
 but for those in question.
@@ -37,6 +37,8 @@ SEEN = 1_000_000
 LEASTS, CROWD, ROUNDS, USEFUL = 8, 16, 8, 10
 #: Segments in which a set's hashes are counted: a power of two, at least so many and at most so many, some four hashes each between.
 SEGMENTS, MOST_SEGMENTS = 128, 4_096
+#: Bits of a parity: powers of two.
+LEAST_BITS, MOST_BITS = 256, 1_024
 _ORDERS = np.random.default_rng(20_240_601).integers(0, 1 << 63, LEASTS, np.int64) | 1
 
 
@@ -60,11 +62,29 @@ def counts(s: np.ndarray) -> bytes:
 
 
 def coarse(s: np.ndarray) -> bytes:
-    """Counts by half as many segments, modulo 16, two a byte: distances around the circle are lower bounds as well."""
+    """Counts by half as many segments, modulo 16, two a byte: distances around the circle are lower bounds as well, of fewer bits and looser than parities, which cells use."""
     c = np.bincount(s & (SEGMENTS // 2 - 1), minlength=SEGMENTS // 2) & 15
     return (c[::2] | c[1::2] << 4).astype(np.uint8).tobytes()
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Whether an even or odd number of hashes falls in each of some four segments a hash. An element that only one of two sets has turns one bit, so the bits that differ are never more than such elements, and up to MOST_BITS nearly as many."""
+    m = min(MOST_BITS, max(LEAST_BITS, 1 << (4 * len(s) - 1).bit_length() if len(s) else 1))
+    return np.packbits(np.bincount(s & (m - 1), minlength=m) & 1, bitorder="little").tobytes()
+
+
+def folded(parities: list[bytes]) -> dict[int, np.ndarray]:
+    """Parities, shorter ones first, in rows of 64 bits: for each length in bytes those of it and, folded to it, the longer ones. The last row is always that of the last parity."""
+    lengths, out, rows = np.array(list(map(len, parities))), {}, None
+    for m in sorted(set(lengths.tolist()), reverse=True):
+        own = np.frombuffer(b"".join(parities[i] for i in np.flatnonzero(lengths == m)), np.uint64).reshape(-1, m // 8)
+        while rows is not None and rows.shape[1] > m // 8:
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] ^ rows[:, half:]
+        out[m] = rows = own if rows is None else np.concatenate([own, rows])
+    return out
+
+
 def least_hashes(s: np.ndarray) -> np.ndarray:
     """The least hash of a set under each of LEASTS orders; a random element of it, and one that similar sets mostly share."""
     return np.array([(s * f).min() for f in _ORDERS]) if len(s) else np.empty(0, np.int64)
@@ -115,7 +135,7 @@ def candidates(texts: DataFrame, known: DataFrame, stages: StageTables, size: in
         return s[by], times[by] > 0
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``counts`` only go along with frequent shingles, whose cells are large."""
+        """``bits``, the parity, only go along with frequent shingles, whose cells are large."""
         seen: set[int] = set()
         for b in batches:
             out: list[list] = [[], [], [], [], [], []]
@@ -130,12 +150,12 @@ def candidates(texts: DataFrame, known: DataFrame, stages: StageTables, size: in
                 tokens, frequent = ordered(s)
                 for column, value in zip(out, (tokens[:m], np.full(m, n), n - np.arange(m)), strict=False):
                     column.append(value)
-                some = coarse(s) if frequent[:m].any() else None
+                some = parity(s) if frequent[:m].any() else None
                 out[3] += [name(s)] * m
                 out[4] += [group] * m
                 out[5] += [some if f else None for f in frequent[:m].tolist()]
             none = [np.empty(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x + none).astype(k)) for x, k in zip(out[:3], (np.int64, np.int32, np.int32), strict=True)), *(pa.array(x, pa.binary()) for x in out[3:])], ["token", "n", "rest", "key", "group", "counts"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x + none).astype(k)) for x, k in zip(out[:3], (np.int64, np.int32, np.int32), strict=True)), *(pa.array(x, pa.binary()) for x in out[3:])], ["token", "n", "rest", "key", "group", "bits"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(some: set) -> pa.RecordBatch:
@@ -143,7 +163,7 @@ def candidates(texts: DataFrame, known: DataFrame, stages: StageTables, size: in
 
         for t, at in whole_groups(batches, ["token"]):
             n, rest = (t.column(c).to_numpy().astype(np.int64) for c in ("n", "rest"))
-            key, group, coarsely = (t.column(c).to_pylist() for c in ("key", "group", "counts"))
+            key, group, bits = (t.column(c).to_pylist() for c in ("key", "group", "bits"))
             group = [g or k for g, k in zip(group, key, strict=True)]
             some: set[tuple[bytes, bytes]] = set()
 
@@ -162,17 +182,16 @@ def candidates(texts: DataFrame, known: DataFrame, stages: StageTables, size: in
             for s, m in zip(at[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 if len(set(group[s : s + m])) == 1:
                     continue
-                crowded = coarsely[s] is not None
-                if crowded:
-                    x = np.frombuffer(b"".join(coarsely[s : s + m]), np.uint8).reshape(m, -1)
-                    x = np.concatenate([x & 15, x >> 4], axis=1).astype(np.int8)
+                crowded = bits[s] is not None
+                parities, end = folded(bits[s : s + m]) if crowded else {}, s + m  # rows by their place from the end
                 last = s + np.searchsorted(n[s : s + m], q * n[s : s + m] // p, "right")  # rows of a cell come by size
                 for i in range(s, s + m - 1):
                     j = np.arange(i + 1, last[i - s])
                     j = j[able(i, j)]
                     if crowded and len(j):
-                        far = (x[j - s] - x[i - s]) & 15
-                        j = j[(p + q) * np.minimum(far, 16 - far).sum(axis=1, dtype=np.int64) <= (q - p) * (n[i] + n[j])]
+                        x = parities[len(bits[i])]
+                        far = np.bitwise_count(x[j - end] ^ x[i - end]).sum(axis=1, dtype=np.int64)
+                        j = j[(p + q) * far <= (q - p) * (n[i] + n[j])]
                     for k in j.tolist():
                         add(i, k)
                     if len(some) > CHUNK:
@@ -184,7 +203,7 @@ def candidates(texts: DataFrame, known: DataFrame, stages: StageTables, size: in
     perhaps, alone = hinted(texts, "row", known.select("row"))
     listed = perhaps.join(known.withColumn("known", F.lit(True)), "row", "left").where("known is null or group is not null").select("row", "text", "group")
     rows = listed.unionByName(alone.withColumn("group", F.lit(None).cast("binary")))
-    cells = rows.mapInArrow(prefixes, "token long, n int, rest int, key binary, group binary, counts binary")
+    cells = rows.mapInArrow(prefixes, "token long, n int, rest int, key binary, group binary, bits binary")
     return cells.repartition(partitions(texts.sparkSession), "token").sortWithinPartitions("token", "n").mapInArrow(pairs, "a binary, b binary").distinct()
 
 

@@ -1,6 +1,7 @@
 """Shingle similarity against brute force."""
 
 import random
+from fractions import Fraction
 
 import corpus_pipeline
 import numpy as np
@@ -153,3 +154,32 @@ def test_a_hint_loses_no_row(spark):
     assert perhaps.columns == stay.columns == rows.columns
     assert perhaps.count() + stay.count() == 5000 and stay.where("id % 9 = 0").isEmpty() and perhaps.count() < 1000
     assert [x.count() for x in hinted(rows, "row", rows.limit(0).select("row"))] == [0, 5000]
+
+
+def test_texts_just_below_the_threshold_make_few_pairs(spark):
+    """A hundred of a group and a hundred that are at 0.774 from each of them: 10,000 pairs to rule out, mostly within the cells."""
+    rng, rows = random.Random(9), []
+    words = [f"w{i}" for i in range(200)]
+    for i in range(200):
+        text = list(words)
+        for at in rng.sample(range(4, 100, 6), 1) if i < 100 else rng.sample(range(106, 196, 6), 4):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text), b"one" if i < 100 else None))
+    docs = spark.createDataFrame(rows, "row long, text string, group binary")
+    stages = StageTables(spark)
+    found = shingles.candidates(docs.select("row", "text"), docs.where("group is not null").select("row", "group"), stages, 5, Fraction("0.8"))
+    assert found.count() < 1000
+
+
+def test_parities_are_a_lower_bound():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rng.integers(1, 3_000))
+        x = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        y = np.unique(np.append(x[rng.random(len(x)) < rng.random()], rng.integers(-(1 << 62), 1 << 62, int(rng.integers(0, n + 1)))))
+        far, (a, b) = len(np.setxor1d(x, y)), sorted((shingles.parity(x), shingles.parity(y)), key=len)
+        rows = shingles.folded([a, b])[len(a)]
+        assert rows.shape == (2, len(a) // 8) and np.bitwise_count(rows[0] ^ rows[1]).sum() <= far
+    short, long = shingles.parity(x[:40]), shingles.parity(np.arange(5_000))
+    assert sorted(shingles.folded([short, short, long])) == [len(short), len(long)] == [32, 128]
+    assert len(shingles.parity(np.empty(0, np.int64))) == 32
